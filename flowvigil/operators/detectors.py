@@ -25,7 +25,7 @@ from flowvigil.functions.categories import severity
 from flowvigil.functions.coercion import number_or_null, number_or_zero, whole_or_null
 from flowvigil.functions.flow import any_of, in_set
 from flowvigil.operators import rollup as r
-from flowvigil.operators.rollup import Scope, ratio
+from flowvigil.operators.rollup import Detection, Scope, ratio
 from flowvigil.schema import RULE_ALERT
 from flowvigil.staging import NoStaging, Staging
 
@@ -48,20 +48,18 @@ def _alerts(summary: DataFrame, kind: str, level: Column, **columns: str) -> Dat
     return summary.select(*shaped)
 
 
-def detect_port_scan(
-    flows: DataFrame, cfg: ScanConfig = ScanConfig(), staging: Staging | NoStaging = NO_STAGING
-) -> DataFrame:
+def port_scan(flows: DataFrame, cfg: ScanConfig = ScanConfig()) -> Detection:
     """One alert per source that fans out over hosts, ports or host-port pairs."""
     tcp = r.with_windows(
         flows.where(F.col("proto") == "tcp"), cfg.short_window_seconds, cfg.long_window_seconds
     )
     n, hosts, ports, pairs = F.col("n"), F.col("hosts"), F.col("ports"), F.col("pairs")
-    fan_out = {"hosts": r.distinct_hosts, "ports": r.distinct_ports, "pairs": r.distinct_targets}
+    fan_out = {"hosts": r.distinct_hosts(), "ports": r.distinct_ports(), "pairs": r.distinct_targets()}
     scopes = [
         Scope(
             "src_short",
             ("orig_h", "short_bin"),
-            {"n": r.rows_total, "fails": r.fails_total, "syn": F.sum("syn"), **fan_out},
+            {"n": r.rows_total(), "fails": r.fails_total(), "syn": F.sum("syn"), **fan_out},
             any_of(
                 [
                     hosts >= cfg.unique_dst_threshold_short,
@@ -88,38 +86,40 @@ def detect_port_scan(
         Scope(
             "victim_short",
             ("resp_h", "short_bin"),
-            {"sources": r.distinct_sources},
+            {"sources": r.distinct_sources()},
             F.col("sources") >= cfg.victim_unique_src_threshold_short,
         ),
         Scope(
             "victim_long",
             ("resp_h", "long_bin"),
-            {"sources": r.distinct_sources},
+            {"sources": r.distinct_sources()},
             F.col("sources") >= cfg.victim_unique_src_threshold_long,
         ),
     ]
-    groups = r.hot_groups(tcp, scopes, staging, "port-scan")
-    hits = r.join_back(tcp, scopes, groups).where(
-        F.coalesce("src_short_n", "src_long_hosts", "victim_short_sources", "victim_long_sources")
-        .isNotNull()
-    )
-    summary = hits.groupBy("orig_h").agg(
-        r.rows_total.alias("total"),
-        r.distinct_hosts.alias("uniq_hosts"),
-        r.distinct_ports.alias("uniq_ports"),
-        ratio(r.fails_total, r.rows_total).alias("fail_ratio"),
-    )
-    hosts, ports = F.col("uniq_hosts"), F.col("uniq_ports")
-    level = severity(
-        (hosts >= cfg.unique_dst_threshold_long) | (ports >= cfg.unique_port_threshold_long),
-        (hosts >= cfg.unique_dst_threshold_short) | (ports >= cfg.unique_port_threshold_short),
-    )
-    return _alerts(summary, "port_scan", level, attacker_ip="orig_h")
 
+    def alerts(groups: dict[str, DataFrame]) -> DataFrame:
+        hits = r.join_back(tcp, scopes, groups).where(
+            F.coalesce(
+                "src_short_n", "src_long_hosts", "victim_short_sources", "victim_long_sources"
+            ).isNotNull()
+        )
+        summary = hits.groupBy("orig_h").agg(
+            r.rows_total().alias("total"),
+            r.distinct_hosts().alias("uniq_hosts"),
+            r.distinct_ports().alias("uniq_ports"),
+            ratio(r.fails_total(), r.rows_total()).alias("fail_ratio"),
+        )
+        hosts, ports = F.col("uniq_hosts"), F.col("uniq_ports")
+        level = severity(
+            (hosts >= cfg.unique_dst_threshold_long) | (ports >= cfg.unique_port_threshold_long),
+            (hosts >= cfg.unique_dst_threshold_short) | (ports >= cfg.unique_port_threshold_short),
+        )
+        return _alerts(summary, "port_scan", level, attacker_ip="orig_h")
+
+    return Detection("port_scan", tcp, scopes, alerts)
 
-def detect_bruteforce(
-    flows: DataFrame, cfg: BruteConfig = BruteConfig(), staging: Staging | NoStaging = NO_STAGING
-) -> DataFrame:
+
+def bruteforce(flows: DataFrame, cfg: BruteConfig = BruteConfig()) -> Detection:
     """One alert per source and target with repeated, mostly failing attempts."""
     tcp = r.with_windows(
         flows.where(F.col("proto") == "tcp"), cfg.short_window_seconds, cfg.slow_window_seconds
@@ -144,9 +144,9 @@ def detect_bruteforce(
         "src",
         ("orig_h", "short_bin"),
         {
-            "n": r.rows_total,
-            "fails": r.fails_total,
-            "successes": r.successes_total,
+            "n": r.rows_total(),
+            "fails": r.fails_total(),
+            "successes": r.successes_total(),
             "syn": F.sum("syn"),
         },
         F.col("successes") < cfg.success_break_threshold,
@@ -155,77 +155,78 @@ def detect_bruteforce(
         Scope(
             "pair",
             ("orig_h", "resp_h", "short_bin"),
-            {"n": r.rows_total},
+            {"n": r.rows_total()},
             n >= lowest(cfg.per_srcdst_attempt_threshold),
         ),
         Scope(
             "pair_port",
             ("orig_h", "resp_h", "resp_p", "short_bin"),
-            {"n": r.rows_total},
+            {"n": r.rows_total()},
             n >= lowest(cfg.per_srcdstport_attempt_threshold),
         ),
         Scope(
             "victim",
             ("resp_h", "short_bin"),
-            {"sources": r.distinct_sources},
+            {"sources": r.distinct_sources()},
             F.col("sources") >= cfg.per_dst_multi_src_threshold,
         ),
         Scope(
             "slow",
             ("orig_h", "long_bin"),
-            {"n": r.rows_total, "fails": r.fails_total},
+            {"n": r.rows_total(), "fails": r.fails_total()},
             (n >= cfg.slow_attempt_threshold) & (fail >= cfg.fail_ratio_threshold),
         ),
     ]
-    groups = r.hot_groups(tcp, [unbroken, *counted], staging, "bruteforce")
-    rows = tcp.withColumn("gate", gate)
-    if cfg.require_focus_for_trigger:
-        rows = rows.where("gate")
-    rows = r.join_back(rows, [unbroken], groups, how="inner")
-    rows = r.join_back(rows, counted, groups)
-    fail_limit = F.when(F.col("gate"), cfg.fail_ratio_threshold).otherwise(
-        cfg.fail_ratio_threshold * 1.5
-    )
-    hits = rows.where(
-        any_of(
-            [
-                F.col("src_n") >= effective(cfg.per_src_attempt_threshold),
-                F.col("pair_n") >= effective(cfg.per_srcdst_attempt_threshold),
-                F.col("pair_port_n") >= effective(cfg.per_srcdstport_attempt_threshold),
-                ratio(F.col("src_fails"), F.col("src_n")) >= fail_limit,
-                ratio(F.col("src_syn"), F.col("src_n")) >= cfg.syn_noack_mean_threshold,
-                F.col("victim_sources").isNotNull(),
-                F.try_divide(F.col("slow_fails"), F.col("slow_n")) >= fail_limit,
-            ]
+
+    def alerts(groups: dict[str, DataFrame]) -> DataFrame:
+        rows = tcp.withColumn("gate", gate)
+        if cfg.require_focus_for_trigger:
+            rows = rows.where("gate")
+        rows = r.join_back(rows, [unbroken], groups, how="inner")
+        rows = r.join_back(rows, counted, groups)
+        fail_limit = F.when(F.col("gate"), cfg.fail_ratio_threshold).otherwise(
+            cfg.fail_ratio_threshold * 1.5
         )
-    )
-    summary = hits.groupBy("orig_h", "resp_h").agg(
-        r.rows_total.alias("attempts"),
-        r.distinct_ports.alias("uniq_ports"),
-        ratio(r.fails_total, r.rows_total).alias("fail_ratio"),
-    )
-    attempts = F.col("attempts")
-    level = severity(
-        (attempts >= cfg.slow_attempt_threshold) | (F.col("fail_ratio") >= 0.9),
-        attempts >= cfg.per_srcdst_attempt_threshold,
-    )
-    return _alerts(summary, "bruteforce", level, attacker_ip="orig_h", target_ip="resp_h")
+        hits = rows.where(
+            any_of(
+                [
+                    F.col("src_n") >= effective(cfg.per_src_attempt_threshold),
+                    F.col("pair_n") >= effective(cfg.per_srcdst_attempt_threshold),
+                    F.col("pair_port_n") >= effective(cfg.per_srcdstport_attempt_threshold),
+                    ratio(F.col("src_fails"), F.col("src_n")) >= fail_limit,
+                    ratio(F.col("src_syn"), F.col("src_n")) >= cfg.syn_noack_mean_threshold,
+                    F.col("victim_sources").isNotNull(),
+                    F.try_divide(F.col("slow_fails"), F.col("slow_n")) >= fail_limit,
+                ]
+            )
+        )
+        summary = hits.groupBy("orig_h", "resp_h").agg(
+            r.rows_total().alias("attempts"),
+            r.distinct_ports().alias("uniq_ports"),
+            ratio(r.fails_total(), r.rows_total()).alias("fail_ratio"),
+        )
+        attempts = F.col("attempts")
+        level = severity(
+            (attempts >= cfg.slow_attempt_threshold) | (F.col("fail_ratio") >= 0.9),
+            attempts >= cfg.per_srcdst_attempt_threshold,
+        )
+        return _alerts(summary, "bruteforce", level, attacker_ip="orig_h", target_ip="resp_h")
+
+    return Detection("bruteforce", tcp, [unbroken, *counted], alerts)
 
 
 def _victim_alerts(hits: DataFrame, kind: str, short: int, long: int, **extra: Column) -> DataFrame:
     """One alert per victim, graded by the number of distinct sources among the hits."""
     summary = hits.groupBy("resp_h").agg(
-        r.rows_total.alias("total"),
-        r.distinct_sources.alias("uniq_src"),
+        r.rows_total().alias("total"),
+        r.distinct_sources().alias("uniq_src"),
         *[stat.alias(name) for name, stat in extra.items()],
     )
     sources = F.col("uniq_src")
     return _alerts(summary, kind, severity(sources >= long, sources >= short), target_ip="resp_h")
 
 
-def detect_icmp_flood(
-    flows: DataFrame, cfg: IcmpConfig = IcmpConfig(), staging: Staging | NoStaging = NO_STAGING
-) -> DataFrame:
+def icmp_flood(flows: DataFrame, cfg: IcmpConfig = IcmpConfig()) -> Detection:
     """One alert per victim of echo-like ICMP in volume, breadth or rate."""
     icmp = flows.where((F.col("proto") == "icmp") | (F.col("service") == "icmp"))
     if cfg.enforce_echo_like:
@@ -234,13 +235,13 @@ def detect_icmp_flood(
     n = F.col("n")
     pps = F.col("orig_pkts") / F.greatest(F.col("duration"), F.lit(1.0))
     replies = ratio(F.col("resp_pkts"), F.col("orig_pkts"))
-    volume = {"n": r.rows_total}
+    volume = {"n": r.rows_total()}
     scopes = [
         Scope(
             "src_short",
             ("orig_h", "short_bin"),
             {
-                "n": r.rows_total,
+                "n": r.rows_total(),
                 "orig_pkts": F.sum("orig_pkts"),
                 "resp_pkts": F.sum("resp_pkts"),
                 "duration": F.sum("duration"),
@@ -256,36 +257,37 @@ def detect_icmp_flood(
         Scope(
             "victim_short",
             ("resp_h", "short_bin"),
-            {"n": r.rows_total, "sources": r.distinct_sources},
+            {"n": r.rows_total(), "sources": r.distinct_sources()},
             (n >= cfg.victim_total_threshold_short)
             | (F.col("sources") >= cfg.victim_unique_src_threshold_short),
         ),
         Scope(
             "victim_long",
             ("resp_h", "long_bin"),
-            {"n": r.rows_total, "sources": r.distinct_sources},
+            {"n": r.rows_total(), "sources": r.distinct_sources()},
             (n >= cfg.victim_total_threshold_long)
             | (F.col("sources") >= cfg.victim_unique_src_threshold_long),
         ),
     ]
-    groups = r.hot_groups(icmp, scopes, staging, "icmp-flood")
-    rows = icmp.where(
-        ~in_set("orig_h", cfg.src_ip_whitelist) & ~in_set("resp_h", cfg.dst_ip_whitelist)
-    )
-    hits = r.join_back(rows, scopes, groups).where(
-        F.coalesce(*[f"{scope.name}_n" for scope in scopes]).isNotNull()
-    )
-    return _victim_alerts(
-        hits,
-        "icmp_flood",
-        cfg.victim_unique_src_threshold_short,
-        cfg.victim_unique_src_threshold_long,
-    )
 
+    def alerts(groups: dict[str, DataFrame]) -> DataFrame:
+        rows = icmp.where(
+            ~in_set("orig_h", cfg.src_ip_whitelist) & ~in_set("resp_h", cfg.dst_ip_whitelist)
+        )
+        hits = r.join_back(rows, scopes, groups).where(
+            F.coalesce(*[f"{scope.name}_n" for scope in scopes]).isNotNull()
+        )
+        return _victim_alerts(
+            hits,
+            "icmp_flood",
+            cfg.victim_unique_src_threshold_short,
+            cfg.victim_unique_src_threshold_long,
+        )
 
-def detect_dns_flood(
-    flows: DataFrame, cfg: DnsConfig = DnsConfig(), staging: Staging | NoStaging = NO_STAGING
-) -> DataFrame:
+    return Detection("icmp_flood", icmp, scopes, alerts)
+
+
+def dns_flood(flows: DataFrame, cfg: DnsConfig = DnsConfig()) -> Detection:
     """One alert per victim of many, many-sourced or amplified UDP flows to the DNS ports."""
     udp = flows.where(F.col("proto") == "udp")
     if cfg.require_focus:
@@ -309,8 +311,8 @@ def detect_dns_flood(
             "victim_short",
             ("resp_h", "short_bin"),
             {
-                "n": r.rows_total,
-                "sources": r.distinct_sources,
+                "n": r.rows_total(),
+                "sources": r.distinct_sources(),
                 "orig_bytes": F.sum("orig_bytes"),
                 "resp_bytes": F.sum("resp_bytes"),
             },
@@ -319,26 +321,27 @@ def detect_dns_flood(
         Scope(
             "victim_long",
             ("resp_h", "long_bin"),
-            {"n": r.rows_total, "sources": r.distinct_sources},
+            {"n": r.rows_total(), "sources": r.distinct_sources()},
             (n >= cfg.victim_rows_threshold_long)
             | (sources >= cfg.victim_unique_src_threshold_long),
         ),
     ]
-    groups = r.hot_groups(udp, scopes, staging, "dns-flood")
-    hits = r.join_back(udp, scopes, groups).where(
-        F.coalesce("victim_short_n", "victim_long_n").isNotNull()
-    )
-    return _victim_alerts(
-        hits,
-        "dns_flood",
-        cfg.victim_unique_src_threshold_short,
-        cfg.victim_unique_src_threshold_long,
-    )
 
+    def alerts(groups: dict[str, DataFrame]) -> DataFrame:
+        hits = r.join_back(udp, scopes, groups).where(
+            F.coalesce("victim_short_n", "victim_long_n").isNotNull()
+        )
+        return _victim_alerts(
+            hits,
+            "dns_flood",
+            cfg.victim_unique_src_threshold_short,
+            cfg.victim_unique_src_threshold_long,
+        )
 
-def detect_ddos(
-    flows: DataFrame, cfg: DdosConfig = DdosConfig(), staging: Staging | NoStaging = NO_STAGING
-) -> DataFrame:
+    return Detection("dns_flood", udp, scopes, alerts)
+
+
+def ddos(flows: DataFrame, cfg: DdosConfig = DdosConfig()) -> Detection:
     """One alert per victim of distributed load; reflection ports get lower thresholds."""
     proto, port = F.col("proto"), F.col("resp_p")
     scoped = flows.where(
@@ -370,7 +373,7 @@ def detect_ddos(
             cfg.victim_pairs_threshold_long,
         ),
     }
-    load = {"sources": r.distinct_sources, "n": r.rows_total, "pairs": r.distinct_source_ports}
+    load = {"sources": r.distinct_sources(), "n": r.rows_total(), "pairs": r.distinct_source_ports()}
 
     def load_tests(window: str, scale: Column, prefix: str = "") -> list[Column]:
         return [
@@ -389,7 +392,7 @@ def detect_ddos(
         Scope(
             "victim_short",
             ("resp_h", "short_bin"),
-            {**load, "fails": r.fails_total, "syn": F.sum("syn")},
+            {**load, "fails": r.fails_total(), "syn": F.sum("syn")},
             any_of(load_tests("short", F.lit(loosest)) + quality_tests()),
         ),
         Scope(
@@ -399,21 +402,24 @@ def detect_ddos(
             any_of(load_tests("long", F.lit(loosest))),
         ),
     ]
-    groups = r.hot_groups(scoped, scopes, staging, "ddos")
-    hits = r.join_back(scoped.withColumn("factor", factor), scopes, groups).where(
-        any_of(
-            load_tests("short", F.col("factor"), "victim_short_")
-            + load_tests("long", F.col("factor"), "victim_long_")
-            + quality_tests("victim_short_")
+
+    def alerts(groups: dict[str, DataFrame]) -> DataFrame:
+        hits = r.join_back(scoped.withColumn("factor", factor), scopes, groups).where(
+            any_of(
+                load_tests("short", F.col("factor"), "victim_short_")
+                + load_tests("long", F.col("factor"), "victim_long_")
+                + quality_tests("victim_short_")
+            )
         )
-    )
-    return _victim_alerts(
-        hits,
-        "ddos",
-        cfg.victim_unique_src_threshold_short,
-        cfg.victim_unique_src_threshold_long,
-        uniq_pairs=r.distinct_source_ports,
-    )
+        return _victim_alerts(
+            hits,
+            "ddos",
+            cfg.victim_unique_src_threshold_short,
+            cfg.victim_unique_src_threshold_long,
+            uniq_pairs=r.distinct_source_ports(),
+        )
+
+    return Detection("ddos", scoped, scopes, alerts)
 
 
 def detect_fast_scan(flows: DataFrame, cfg: FastScanConfig = FastScanConfig()) -> DataFrame:
@@ -438,7 +444,7 @@ def detect_fast_scan(flows: DataFrame, cfg: FastScanConfig = FastScanConfig()) -
     pairs = (
         tries.where(F.col("ts") >= newest - cfg.window_seconds)
         .groupBy("orig_h", "resp_h")
-        .agg(r.distinct_ports.alias("uniq_ports"))
+        .agg(r.distinct_ports().alias("uniq_ports"))
         .where(F.col("uniq_ports") >= cfg.min_ports)
     )
     alerts = _alerts(
@@ -447,6 +453,11 @@ def detect_fast_scan(flows: DataFrame, cfg: FastScanConfig = FastScanConfig()) -
     return alerts.select(newest.alias("ts_generated"), *alerts.columns)
 
 
+def detect(detection: Detection, staging: Staging | NoStaging = NO_STAGING) -> DataFrame:
+    """Alerts of one detector, for example ``detect(port_scan(rollup, cfg))``."""
+    return r.run_detections([detection], staging)[0]
+
+
 def moment(as_of: float | Column) -> Column:
     """A clock value as a Column; ``latest(flows)`` makes one from the data."""
     return as_of if isinstance(as_of, Column) else F.lit(float(as_of))
@@ -486,12 +497,15 @@ def run_rules(
     """
     recent = read_window(flows, as_of, look_back or profile.look_back_seconds(), max_rows)
     base = staging.table(r.rollup(recent, profile.slot_seconds()), "rollup")
-    alerts = [
-        detect_port_scan(base, profile.scan, staging),
-        detect_bruteforce(base, profile.brute, staging),
-        detect_icmp_flood(base, profile.icmp_flood, staging),
-        detect_dns_flood(base, profile.dns, staging),
-        detect_ddos(base, profile.ddos, staging),
-    ]
+    alerts = r.run_detections(
+        [
+            port_scan(base, profile.scan),
+            bruteforce(base, profile.brute),
+            icmp_flood(base, profile.icmp_flood),
+            dns_flood(base, profile.dns),
+            ddos(base, profile.ddos),
+        ],
+        staging,
+    )
     union = reduce(DataFrame.unionByName, alerts)
     return union.select(moment(as_of).alias("ts_generated"), *union.columns)

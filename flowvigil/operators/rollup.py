@@ -9,7 +9,7 @@ are combined before the shuffle. All later statistics read the rollup.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,28 +24,39 @@ COUNTS = ("n", "fails", "successes", "orig_pkts", "resp_pkts")
 SUMS = ("syn", "duration", "orig_bytes", "resp_bytes")
 
 
-def _column_or(df: DataFrame, name: str, fill: Column) -> Column:
-    return F.col(name) if name in df.columns else fill
+def _text(df: DataFrame, name: str) -> Column:
+    return text_or(name, "-") if name in df.columns else F.lit("-")
+
+
+def _whole(df: DataFrame, name: str, dtype: str) -> Column:
+    kind = dict(df.dtypes).get(name)
+    if kind is None:
+        return F.lit(0).cast(dtype)
+    # A column that already has the type needs no parsing.
+    return F.coalesce(F.col(name), F.lit(0).cast(dtype)) if kind == dtype else whole_or_zero(name, dtype)
+
+
+def _real(df: DataFrame, name: str) -> Column:
+    return number_or_zero(name) if name in df.columns else F.lit(0.0)
 
 
 def rule_input(flows: DataFrame) -> DataFrame:
     """Flows with every column the rules need: bad numbers are 0, missing text is '-'."""
-    text = {
-        name: text_or(_column_or(flows, name, F.lit("-")), "-")
+    columns = {
+        name: _text(flows, name)
         for name in ("orig_h", "resp_h", "proto", "service", "conn_state", "history")
     }
-    whole = {
-        name: whole_or_zero(_column_or(flows, name, F.lit(0)), dtype)
-        for name, dtype in (("resp_p", "int"), ("orig_pkts", "bigint"), ("resp_pkts", "bigint"))
-    }
-    real = {
-        name: number_or_zero(_column_or(flows, name, F.lit(0.0)))
-        for name in ("ts", "duration", "orig_bytes", "resp_bytes")
+    columns |= {name: _real(flows, name) for name in ("ts", "duration", "orig_bytes", "resp_bytes")}
+    columns |= {
+        "resp_p": _whole(flows, "resp_p", "int"),
+        "orig_pkts": _whole(flows, "orig_pkts", "bigint"),
+        "resp_pkts": _whole(flows, "resp_pkts", "bigint"),
     }
-    syn = (
-        number_or_zero("syn_noack") if "syn_noack" in flows.columns else flow.syn_noack(text["history"])
+    columns["syn_noack"] = (
+        number_or_zero("syn_noack")
+        if "syn_noack" in flows.columns
+        else flow.syn_noack(columns["history"])
     )
-    columns = {**real, **text, **whole, "syn_noack": syn}
     return flows.select(*[c.alias(name) for name, c in columns.items()])
 
 
@@ -84,14 +95,38 @@ def with_windows(rows: DataFrame, short: int, long: int) -> DataFrame:
 
 
 # Statistics over rollup rows.
-rows_total = F.sum("n")
-fails_total = F.sum("fails")
-successes_total = F.sum("successes")
-distinct_hosts = F.countDistinct("resp_h")
-distinct_ports = F.countDistinct("resp_p")
-distinct_targets = F.countDistinct("resp_h", "resp_p")
-distinct_sources = F.countDistinct("orig_h")
-distinct_source_ports = F.countDistinct("orig_h", "resp_p")
+
+
+def rows_total() -> Column:
+    return F.sum("n")
+
+
+def fails_total() -> Column:
+    return F.sum("fails")
+
+
+def successes_total() -> Column:
+    return F.sum("successes")
+
+
+def distinct_hosts() -> Column:
+    return F.countDistinct("resp_h")
+
+
+def distinct_ports() -> Column:
+    return F.countDistinct("resp_p")
+
+
+def distinct_targets() -> Column:
+    return F.countDistinct("resp_h", "resp_p")
+
+
+def distinct_sources() -> Column:
+    return F.countDistinct("orig_h")
+
+
+def distinct_source_ports() -> Column:
+    return F.countDistinct("orig_h", "resp_p")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:
@@ -104,7 +139,8 @@ class Scope:
     """Statistics of one key shape and the test that keeps a group worth joining back.
 
     ``keep`` sees the statistics under their own names and must be true for every group
-    that can make a row a hit; groups that fail it are dropped before the join.
+    that can make a row a hit; groups that fail it are dropped before the join. Joined
+    back, statistic ``s`` of scope ``v`` is column ``v_s``.
     """
 
     name: str
@@ -113,35 +149,54 @@ class Scope:
     keep: Column
 
 
+@dataclass(frozen=True)
+class Detection:
+    """One detector: the rows it looks at, its scopes, and its alerts from the kept groups."""
+
+    label: str
+    rows: DataFrame
+    scopes: Sequence[Scope]
+    alerts: Callable[[dict[str, DataFrame]], DataFrame]
+
+
 def group_statistics(rows: DataFrame, keys: Sequence[str], stats: dict[str, Column]) -> DataFrame:
     return rows.groupBy(*keys).agg(*[stat.alias(name) for name, stat in stats.items()])
 
 
-def hot_groups(
-    rows: DataFrame, scopes: Sequence[Scope], staging: Staging | NoStaging, label: str
-) -> dict[str, DataFrame]:
-    """The kept groups of every scope, staged together, one DataFrame per scope.
+def _kept_groups(label: str, rows: DataFrame, scope: Scope) -> DataFrame:
+    kept = group_statistics(rows, scope.keys, scope.stats).where(scope.keep)
+    return kept.select(
+        F.lit(f"{label}.{scope.name}").alias("scope"),
+        *scope.keys,
+        *[F.col(s).cast("double").alias(f"v{i}") for i, s in enumerate(scope.stats)],
+    )
+
 
-    Statistic ``s`` of scope ``v`` comes back as column ``v_s``.
+def run_detections(
+    detections: Sequence[Detection], staging: Staging | NoStaging = NoStaging()
+) -> list[DataFrame]:
+    """Alerts of each detection.
+
+    The kept groups of all scopes of all detections are one staged table, partitioned by
+    scope: one job computes them side by side, and the size of each scope's files decides
+    whether its join is broadcast.
     """
-    parts = []
-    for scope in scopes:
-        kept = group_statistics(rows, scope.keys, scope.stats).where(scope.keep)
-        parts.append(
-            kept.select(
-                F.lit(scope.name).alias("scope"),
-                *scope.keys,
-                *[F.col(s).alias(f"{scope.name}_{s}") for s in scope.stats],
-            )
-        )
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    groups = staging.table(union, f"{label}-groups", partition_by=("scope",))
-    return {
-        scope.name: groups.where(F.col("scope") == scope.name).select(
-            *scope.keys, *[f"{scope.name}_{s}" for s in scope.stats]
+    parts = [_kept_groups(d.label, d.rows, scope) for d in detections for scope in d.scopes]
+    groups = staging.table(
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts),
+        "kept-groups",
+        partition_by=("scope",),
+    )
+
+    def of_scope(label: str, scope: Scope) -> DataFrame:
+        return groups.where(F.col("scope") == f"{label}.{scope.name}").select(
+            *scope.keys,
+            *[F.col(f"v{i}").alias(f"{scope.name}_{s}") for i, s in enumerate(scope.stats)],
         )
-        for scope in scopes
-    }
+
+    return [
+        d.alerts({scope.name: of_scope(d.label, scope) for scope in d.scopes}) for d in detections
+    ]
 
 
 def join_back(

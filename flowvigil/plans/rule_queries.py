@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -39,10 +40,10 @@ def _rollup(spark: SparkSession, folder: str) -> tuple[DataFrame, Staging]:
     return staging.table(r.rollup(flows, FIXTURE.slot_seconds()), "rollup"), staging
 
 
-def _detector(detect, cfg, columns: list[str]):
+def _detector(detector, cfg, columns: list[str]):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         base, staging = _rollup(spark, folder)
-        return readable(detect(base, cfg, staging)).select(*columns)
+        return readable(d.detect(detector(base, cfg), staging)).select(*columns)
 
     return run
 
@@ -60,10 +61,10 @@ def readable(alerts: DataFrame) -> DataFrame:
     return alerts.select(*shown)
 
 
-def _statistics(keys: list[str], stats: dict[str, Column], where: str = "proto = 'tcp'"):
+def _statistics(keys: list[str], stats: Callable[[], dict[str, Column]], where: str = "proto = 'tcp'"):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = r.with_windows(r.rollup(load_flows(spark, folder), DAY), DAY, WEEK).where(where)
-        return r.group_statistics(rows, keys, stats)
+        return r.group_statistics(rows, keys, stats())
 
     return run
 
@@ -92,7 +93,7 @@ def _rules_window(spark: SparkSession, folder: str) -> DataFrame:
 
 def _fail_ratio(spark: SparkSession, folder: str) -> DataFrame:
     rows = r.with_windows(r.rollup(load_flows(spark, folder), DAY), DAY, WEEK)
-    stats = {"n": r.rows_total, "fails": r.fails_total, "successes": r.successes_total}
+    stats = {"n": r.rows_total(), "fails": r.fails_total(), "successes": r.successes_total()}
     return r.group_statistics(rows.where("proto = 'tcp'"), ["orig_h", "short_bin"], stats).withColumn(
         "fail_ratio", F.round(r.ratio(F.col("fails"), F.col("n")), 6)
     )
@@ -150,53 +151,53 @@ QUERIES = {
     "flow_rollup": _rollup_query,
     "stat_src_short": _statistics(
         ["orig_h", "short_bin"],
-        {
-            "n": r.rows_total, "fails": r.fails_total, "hosts": r.distinct_hosts,
-            "ports": r.distinct_ports, "pairs": r.distinct_targets,
+        lambda: {
+            "n": r.rows_total(), "fails": r.fails_total(), "hosts": r.distinct_hosts(),
+            "ports": r.distinct_ports(), "pairs": r.distinct_targets(),
             "syn_mean": F.round(F.sum("syn") / F.sum("n"), 6),
         },
     ),
     "stat_src_long": _statistics(
         ["orig_h", "long_bin"],
-        {"hosts": r.distinct_hosts, "ports": r.distinct_ports, "pairs": r.distinct_targets},
+        lambda: {"hosts": r.distinct_hosts(), "ports": r.distinct_ports(), "pairs": r.distinct_targets()},
     ),
     "stat_victim_short": _statistics(
         ["resp_h", "short_bin"],
-        {"n": r.rows_total, "sources": r.distinct_sources, "pairs": r.distinct_source_ports},
+        lambda: {"n": r.rows_total(), "sources": r.distinct_sources(), "pairs": r.distinct_source_ports()},
     ),
     "stat_victim_long": _statistics(
         ["resp_h", "long_bin"],
-        {"n": r.rows_total, "sources": r.distinct_sources, "pairs": r.distinct_source_ports},
+        lambda: {"n": r.rows_total(), "sources": r.distinct_sources(), "pairs": r.distinct_source_ports()},
     ),
-    "stat_pair": _statistics(["orig_h", "resp_h", "short_bin"], {"n": r.rows_total}),
-    "stat_pair_port": _statistics(["orig_h", "resp_h", "resp_p", "short_bin"], {"n": r.rows_total}),
+    "stat_pair": _statistics(["orig_h", "resp_h", "short_bin"], lambda: {"n": r.rows_total()}),
+    "stat_pair_port": _statistics(["orig_h", "resp_h", "resp_p", "short_bin"], lambda: {"n": r.rows_total()}),
     "fail_ratio": _fail_ratio,
     "pps_reply_ratio": _pps_reply_ratio,
     "byte_ratio": _byte_ratio,
     "approx_distinct": _approx_distinct,
     "port_scan": _detector(
-        d.detect_port_scan, FIXTURE.scan,
+        d.port_scan, FIXTURE.scan,
         ["attacker_ip", "total", "uniq_hosts", "uniq_ports", "fail_ratio", *_ALERT],
     ),
     "bruteforce": _detector(
-        d.detect_bruteforce, FIXTURE.brute,
+        d.bruteforce, FIXTURE.brute,
         ["attacker_ip", "target_ip", "attempts", "uniq_ports", "fail_ratio", *_ALERT],
     ),
     "bruteforce_off_focus": _detector(
-        d.detect_bruteforce, BRUTE_OFF_FOCUS,
+        d.bruteforce, BRUTE_OFF_FOCUS,
         ["attacker_ip", "target_ip", "attempts", "uniq_ports", "fail_ratio", *_ALERT],
     ),
     "icmp_flood": _detector(
-        d.detect_icmp_flood, FIXTURE.icmp_flood, ["target_ip", "total", "uniq_src", *_ALERT]
+        d.icmp_flood, FIXTURE.icmp_flood, ["target_ip", "total", "uniq_src", *_ALERT]
     ),
     "dns_flood": _detector(
-        d.detect_dns_flood, FIXTURE.dns, ["target_ip", "total", "uniq_src", *_ALERT]
+        d.dns_flood, FIXTURE.dns, ["target_ip", "total", "uniq_src", *_ALERT]
     ),
     "ddos": _detector(
-        d.detect_ddos, FIXTURE.ddos, ["target_ip", "total", "uniq_src", "uniq_pairs", *_ALERT]
+        d.ddos, FIXTURE.ddos, ["target_ip", "total", "uniq_src", "uniq_pairs", *_ALERT]
     ),
     "ddos_reflection": _detector(
-        d.detect_ddos, DDOS_REFLECTION, ["target_ip", "total", "uniq_src", "uniq_pairs", *_ALERT]
+        d.ddos, DDOS_REFLECTION, ["target_ip", "total", "uniq_src", "uniq_pairs", *_ALERT]
     ),
     "rejscan_fast": _rejscan_fast,
     "rules_all": _rules_all,
