@@ -3,7 +3,7 @@
 from pyspark.sql import Column, functions as F
 
 from flowvigil.functions.address import is_internal
-from flowvigil.functions.coercion import as_col, strip
+from flowvigil.functions.coercion import as_col, let, strip
 from flowvigil.schema import CONN_STATES, SEVERITIES
 
 # Arrow labels of the flow direction and their column-safe names.
@@ -31,24 +31,28 @@ def service_norm(service: str | Column, mapping: dict[str, str], default: str =
 
     Tunnels win, then QUIC over TLS, then "TLS plus something", then the first token.
     """
-    tokens = F.filter(F.transform(F.split(F.lower(strip(service)), ","), strip), lambda t: t != "")
-    plain = F.try_element_at(F.filter(tokens, lambda t: t != "ssl"), F.lit(1))
-    over_tls = F.array_contains(tokens, "ssl")
-    return (
-        F.when(F.coalesce(F.size(tokens), F.lit(0)) <= 0, F.lit(default))
-        .when(F.array_contains(tokens, "ayiya"), "tunnel_ayiya")
-        .when(F.array_contains(tokens, "quic") & over_tls, "quic_tls")
-        .when(over_tls & plain.isin(*TLS_BASES), F.concat(plain, F.lit("_tls")))
-        .when(over_tls & plain.isNotNull(), lookup(plain, mapping))
-        .otherwise(lookup(tokens[0], mapping))
-    )
+
+    def choose(tokens: Column) -> Column:
+        over_tls = F.array_contains(tokens, "ssl")
+        plain = F.try_element_at(F.filter(tokens, lambda t: t != "ssl"), F.lit(1))
+        mapped = lookup(F.coalesce(F.when(over_tls, plain), F.try_element_at(tokens, F.lit(1))), mapping)
+        return (
+            F.when(F.size(tokens) == 0, F.lit(default))
+            .when(F.array_contains(tokens, "ayiya"), "tunnel_ayiya")
+            .when(F.array_contains(tokens, "quic") & over_tls, "quic_tls")
+            .when(over_tls & plain.isin(*TLS_BASES), F.concat(plain, F.lit("_tls")))
+            .otherwise(mapped)
+        )
+
+    text = F.lower(F.coalesce(as_col(service).cast("string"), F.lit("")))
+    tokens = F.filter(F.transform(F.split(text, ","), strip), lambda t: t != "")
+    return let(tokens, choose)
 
 
 def flow_direction(orig_h: str | Column, resp_h: str | Column) -> Column:
-    inside, outside = is_internal(orig_h), is_internal(resp_h)
-    return (
-        F.when(inside & outside, "i↔i").when(inside, "i→e").when(outside, "e→i").otherwise("e↔e")
-    )
+    code = is_internal(orig_h).cast("int") * 2 + is_internal(resp_h).cast("int")
+    # Indexed by 2 * (source is internal) + (target is internal).
+    return F.array(*[F.lit(name) for name in ("e↔e", "e→i", "i→e", "i↔i")])[code]
 
 
 def _blank_as(value: Column, fill: str) -> Column:

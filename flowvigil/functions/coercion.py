@@ -1,5 +1,7 @@
 """Text-to-number and epoch conversions that never raise and never yield NaN."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 WHITESPACE = " \t\n\r\x0b\x0c"
@@ -9,6 +11,11 @@ def as_col(value: str | Column) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` mentions it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip(value: str | Column) -> Column:
     """Trim every ASCII white-space character, not only blanks."""
     return F.trim(as_col(value).cast("string"), F.lit(WHITESPACE))

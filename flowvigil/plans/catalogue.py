@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("rule_queries",)
+MODULES = ("prepare_queries", "rule_queries")
 
 
 def _collect(attribute: str) -> dict:
