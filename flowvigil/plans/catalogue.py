@@ -2,7 +2,13 @@
 
 from importlib import import_module
 
-MODULES = ("prepare_queries", "rule_queries", "alert_queries", "model_queries")
+MODULES = (
+    "stream_queries",
+    "prepare_queries",
+    "rule_queries",
+    "alert_queries",
+    "model_queries",
+)
 
 
 def _collect(attribute: str) -> dict:
