@@ -98,6 +98,8 @@ def read_csv_without_header(
         spark.read.schema(text)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
+        # The width of a line is only checked when all of its columns are parsed.
+        .option("columnPruning", False)
         .csv(path)
     )
     # A line of the wrong width is marked; quoted text is not searched for separators.
