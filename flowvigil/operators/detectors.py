@@ -54,12 +54,12 @@ def port_scan(flows: DataFrame, cfg: ScanConfig = ScanConfig()) -> Detection:
         flows.where(F.col("proto") == "tcp"), cfg.short_window_seconds, cfg.long_window_seconds
     )
     n, hosts, ports, pairs = F.col("n"), F.col("hosts"), F.col("ports"), F.col("pairs")
-    fan_out = {"hosts": r.distinct_hosts(), "ports": r.distinct_ports(), "pairs": r.distinct_targets()}
+    fan_out = ("hosts", "ports", "pairs")
     scopes = [
         Scope(
             "src_short",
-            ("orig_h", "short_bin"),
-            {"n": r.rows_total(), "fails": r.fails_total(), "syn": F.sum("syn"), **fan_out},
+            ("orig_h",), "short",
+            ("n", "fails", "syn", *fan_out),
             any_of(
                 [
                     hosts >= cfg.unique_dst_threshold_short,
@@ -73,7 +73,7 @@ def port_scan(flows: DataFrame, cfg: ScanConfig = ScanConfig()) -> Detection:
         ),
         Scope(
             "src_long",
-            ("orig_h", "long_bin"),
+            ("orig_h",), "long",
             fan_out,
             any_of(
                 [
@@ -85,14 +85,14 @@ def port_scan(flows: DataFrame, cfg: ScanConfig = ScanConfig()) -> Detection:
         ),
         Scope(
             "victim_short",
-            ("resp_h", "short_bin"),
-            {"sources": r.distinct_sources()},
+            ("resp_h",), "short",
+            ("sources",),
             F.col("sources") >= cfg.victim_unique_src_threshold_short,
         ),
         Scope(
             "victim_long",
-            ("resp_h", "long_bin"),
-            {"sources": r.distinct_sources()},
+            ("resp_h",), "long",
+            ("sources",),
             F.col("sources") >= cfg.victim_unique_src_threshold_long,
         ),
     ]
@@ -142,38 +142,33 @@ def bruteforce(flows: DataFrame, cfg: BruteConfig = BruteConfig()) -> Detection:
     fail = ratio(F.col("fails"), n)
     unbroken = Scope(
         "src",
-        ("orig_h", "short_bin"),
-        {
-            "n": r.rows_total(),
-            "fails": r.fails_total(),
-            "successes": r.successes_total(),
-            "syn": F.sum("syn"),
-        },
+        ("orig_h",), "short",
+        ("n", "fails", "successes", "syn"),
         F.col("successes") < cfg.success_break_threshold,
     )
     counted = [
         Scope(
             "pair",
-            ("orig_h", "resp_h", "short_bin"),
-            {"n": r.rows_total()},
+            ("orig_h", "resp_h"), "short",
+            ("n",),
             n >= lowest(cfg.per_srcdst_attempt_threshold),
         ),
         Scope(
             "pair_port",
-            ("orig_h", "resp_h", "resp_p", "short_bin"),
-            {"n": r.rows_total()},
+            ("orig_h", "resp_h", "resp_p"), "short",
+            ("n",),
             n >= lowest(cfg.per_srcdstport_attempt_threshold),
         ),
         Scope(
             "victim",
-            ("resp_h", "short_bin"),
-            {"sources": r.distinct_sources()},
+            ("resp_h",), "short",
+            ("sources",),
             F.col("sources") >= cfg.per_dst_multi_src_threshold,
         ),
         Scope(
             "slow",
-            ("orig_h", "long_bin"),
-            {"n": r.rows_total(), "fails": r.fails_total()},
+            ("orig_h",), "long",
+            ("n", "fails"),
             (n >= cfg.slow_attempt_threshold) & (fail >= cfg.fail_ratio_threshold),
         ),
     ]
@@ -235,36 +230,31 @@ def icmp_flood(flows: DataFrame, cfg: IcmpConfig = IcmpConfig()) -> Detection:
     n = F.col("n")
     pps = F.col("orig_pkts") / F.greatest(F.col("duration"), F.lit(1.0))
     replies = ratio(F.col("resp_pkts"), F.col("orig_pkts"))
-    volume = {"n": r.rows_total()}
+    volume = ("n",)
     scopes = [
         Scope(
             "src_short",
-            ("orig_h", "short_bin"),
-            {
-                "n": r.rows_total(),
-                "orig_pkts": F.sum("orig_pkts"),
-                "resp_pkts": F.sum("resp_pkts"),
-                "duration": F.sum("duration"),
-            },
+            ("orig_h",), "short",
+            ("n", "orig_pkts", "resp_pkts", "duration"),
             (n >= cfg.src_total_threshold_short)
             | ((pps >= cfg.pps_threshold_short) & (replies <= cfg.reply_ratio_max)),
         ),
-        Scope("src_long", ("orig_h", "long_bin"), volume, n >= cfg.src_total_threshold_long),
+        Scope("src_long", ("orig_h",), "long", volume, n >= cfg.src_total_threshold_long),
         Scope(
-            "pair_short", ("orig_h", "resp_h", "short_bin"), volume, n >= cfg.pair_threshold_short
+            "pair_short", ("orig_h", "resp_h"), "short", volume, n >= cfg.pair_threshold_short
         ),
-        Scope("pair_long", ("orig_h", "resp_h", "long_bin"), volume, n >= cfg.pair_threshold_long),
+        Scope("pair_long", ("orig_h", "resp_h"), "long", volume, n >= cfg.pair_threshold_long),
         Scope(
             "victim_short",
-            ("resp_h", "short_bin"),
-            {"n": r.rows_total(), "sources": r.distinct_sources()},
+            ("resp_h",), "short",
+            ("n", "sources"),
             (n >= cfg.victim_total_threshold_short)
             | (F.col("sources") >= cfg.victim_unique_src_threshold_short),
         ),
         Scope(
             "victim_long",
-            ("resp_h", "long_bin"),
-            {"n": r.rows_total(), "sources": r.distinct_sources()},
+            ("resp_h",), "long",
+            ("n", "sources"),
             (n >= cfg.victim_total_threshold_long)
             | (F.col("sources") >= cfg.victim_unique_src_threshold_long),
         ),
@@ -309,19 +299,14 @@ def dns_flood(flows: DataFrame, cfg: DnsConfig = DnsConfig()) -> Detection:
     scopes = [
         Scope(
             "victim_short",
-            ("resp_h", "short_bin"),
-            {
-                "n": r.rows_total(),
-                "sources": r.distinct_sources(),
-                "orig_bytes": F.sum("orig_bytes"),
-                "resp_bytes": F.sum("resp_bytes"),
-            },
+            ("resp_h",), "short",
+            ("n", "sources", "orig_bytes", "resp_bytes"),
             any_of(short_tests),
         ),
         Scope(
             "victim_long",
-            ("resp_h", "long_bin"),
-            {"n": r.rows_total(), "sources": r.distinct_sources()},
+            ("resp_h",), "long",
+            ("n", "sources"),
             (n >= cfg.victim_rows_threshold_long)
             | (sources >= cfg.victim_unique_src_threshold_long),
         ),
@@ -373,7 +358,7 @@ def ddos(flows: DataFrame, cfg: DdosConfig = DdosConfig()) -> Detection:
             cfg.victim_pairs_threshold_long,
         ),
     }
-    load = {"sources": r.distinct_sources(), "n": r.rows_total(), "pairs": r.distinct_source_ports()}
+    load = ("sources", "n", "source_ports")
 
     def load_tests(window: str, scale: Column, prefix: str = "") -> list[Column]:
         return [
@@ -391,13 +376,13 @@ def ddos(flows: DataFrame, cfg: DdosConfig = DdosConfig()) -> Detection:
     scopes = [
         Scope(
             "victim_short",
-            ("resp_h", "short_bin"),
-            {**load, "fails": r.fails_total(), "syn": F.sum("syn")},
+            ("resp_h",), "short",
+            (*load, "fails", "syn"),
             any_of(load_tests("short", F.lit(loosest)) + quality_tests()),
         ),
         Scope(
             "victim_long",
-            ("resp_h", "long_bin"),
+            ("resp_h",), "long",
             load,
             any_of(load_tests("long", F.lit(loosest))),
         ),
@@ -427,18 +412,15 @@ def detect_fast_scan(flows: DataFrame, cfg: FastScanConfig = FastScanConfig()) -
 
     The window ends at the newest refused or unanswered TCP flow, which also dates the alerts.
     """
-    needed = ["ts", "orig_h", "resp_h", "resp_p", "proto", "conn_state"]
     tries = (
-        flows.select(
+        flows.where((F.lower("proto") == "tcp") & F.col("conn_state").isin("REJ", "S0"))
+        .select(
             number_or_null("ts").alias("ts"),
             "orig_h",
             "resp_h",
             whole_or_null("resp_p").alias("resp_p"),
-            "proto",
-            "conn_state",
         )
-        .dropna(subset=needed)
-        .where((F.lower("proto") == "tcp") & F.col("conn_state").isin("REJ", "S0"))
+        .dropna()
     )
     newest = tries.agg(F.max("ts")).scalar()
     pairs = (

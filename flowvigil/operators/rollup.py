@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -134,9 +135,28 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
 
 
+# The statistics a scope can ask for, over rollup rows.
+STATISTICS: dict[str, Callable[[], Column]] = {
+    "n": rows_total,
+    "fails": fails_total,
+    "successes": successes_total,
+    "syn": lambda: F.sum("syn"),
+    "orig_pkts": lambda: F.sum("orig_pkts"),
+    "resp_pkts": lambda: F.sum("resp_pkts"),
+    "duration": lambda: F.sum("duration"),
+    "orig_bytes": lambda: F.sum("orig_bytes"),
+    "resp_bytes": lambda: F.sum("resp_bytes"),
+    "hosts": distinct_hosts,
+    "ports": distinct_ports,
+    "pairs": distinct_targets,
+    "sources": distinct_sources,
+    "source_ports": distinct_source_ports,
+}
+
+
 @dataclass(frozen=True)
 class Scope:
-    """Statistics of one key shape and the test that keeps a group worth joining back.
+    """Statistics of one key in the short or the long window.
 
     ``keep`` sees the statistics under their own names and must be true for every group
     that can make a row a hit; groups that fail it are dropped before the join. Joined
@@ -145,9 +165,14 @@ class Scope:
 
     name: str
     keys: Sequence[str]
-    stats: dict[str, Column]
+    window: str
+    stats: Sequence[str]
     keep: Column
 
+    @property
+    def bin(self) -> str:
+        return f"{self.window}_bin"
+
 
 @dataclass(frozen=True)
 class Detection:
@@ -163,12 +188,25 @@ def group_statistics(rows: DataFrame, keys: Sequence[str], stats: dict[str, Colu
     return rows.groupBy(*keys).agg(*[stat.alias(name) for name, stat in stats.items()])
 
 
-def _kept_groups(label: str, rows: DataFrame, scope: Scope) -> DataFrame:
-    kept = group_statistics(rows, scope.keys, scope.stats).where(scope.keep)
+def _kept_groups(label: str, rows: DataFrame, scopes: Sequence[Scope]) -> DataFrame:
+    """The kept groups of scopes that share a key: one pass for the short and long window."""
+    keys = scopes[0].keys
+    stats = list(dict.fromkeys(name for scope in scopes for name in scope.stats))
+    windows = [
+        F.struct(F.lit(scope.name).alias("scope"), F.col(scope.bin).alias("bin")) for scope in scopes
+    ]
+    spread = rows.withColumn("window", F.explode(F.array(*windows))).select("*", "window.*")
+    groups = group_statistics(
+        spread, ["scope", *keys, "bin"], {name: STATISTICS[name]() for name in stats}
+    )
+    kept = groups.where(
+        reduce(or_, [(F.col("scope") == scope.name) & scope.keep for scope in scopes])
+    )
     return kept.select(
-        F.lit(f"{label}.{scope.name}").alias("scope"),
-        *scope.keys,
-        *[F.col(s).cast("double").alias(f"v{i}") for i, s in enumerate(scope.stats)],
+        F.concat(F.lit(f"{label}."), "scope").alias("scope"),
+        *keys,
+        "bin",
+        *[F.col(name).cast("double").alias(name) for name in stats],
     )
 
 
@@ -181,7 +219,12 @@ def run_detections(
     scope: one job computes them side by side, and the size of each scope's files decides
     whether its join is broadcast.
     """
-    parts = [_kept_groups(d.label, d.rows, scope) for d in detections for scope in d.scopes]
+    parts = []
+    for found in detections:
+        by_keys: dict[tuple, list[Scope]] = {}
+        for scope in found.scopes:
+            by_keys.setdefault(tuple(scope.keys), []).append(scope)
+        parts += [_kept_groups(found.label, found.rows, scopes) for scopes in by_keys.values()]
     groups = staging.table(
         reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts),
         "kept-groups",
@@ -191,11 +234,13 @@ def run_detections(
     def of_scope(label: str, scope: Scope) -> DataFrame:
         return groups.where(F.col("scope") == f"{label}.{scope.name}").select(
             *scope.keys,
-            *[F.col(f"v{i}").alias(f"{scope.name}_{s}") for i, s in enumerate(scope.stats)],
+            F.col("bin").alias(scope.bin),
+            *[F.col(s).alias(f"{scope.name}_{s}") for s in scope.stats],
         )
 
     return [
-        d.alerts({scope.name: of_scope(d.label, scope) for scope in d.scopes}) for d in detections
+        found.alerts({scope.name: of_scope(found.label, scope) for scope in found.scopes})
+        for found in detections
     ]
 
 
@@ -204,5 +249,7 @@ def join_back(
 ) -> DataFrame:
     """Rows with the statistics of their kept groups; NULL where the group was not kept."""
     return reduce(
-        lambda acc, scope: acc.join(groups[scope.name], on=list(scope.keys), how=how), scopes, rows
+        lambda acc, scope: acc.join(groups[scope.name], on=[*scope.keys, scope.bin], how=how),
+        scopes,
+        rows,
     )

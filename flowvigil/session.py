@@ -7,6 +7,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Recording a Python call site for every column costs more than building the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
