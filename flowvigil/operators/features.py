@@ -69,27 +69,27 @@ def with_metrics(df: DataFrame) -> DataFrame:
 
 def clip_bounds(
     df: DataFrame, staging: Staging, quantile: float = CLIP_QUANTILE, columns: Sequence[str] = METRICS
-) -> dict[str, tuple[float, float]]:
+) -> dict[str, list[float]]:
     """Lower and upper clipping bound of every metric: two numbers per column."""
     table = exact_quantiles(df, columns, (1 - quantile, quantile), staging)
-    bounds: dict[str, tuple[float, float]] = {}
+    bounds: dict[str, list[float]] = {}
     for row in table.groupBy("column_name").agg(
         F.min("value").alias("low"), F.max("value").alias("high")
     ).collect():
-        bounds[row.column_name] = (row.low, row.high)
+        bounds[row.column_name] = [row.low, row.high]
     return bounds
 
 
 def approximate_clip_bounds(
     df: DataFrame, quantile: float = CLIP_QUANTILE, relative_error: float = 1e-4,
     columns: Sequence[str] = METRICS,
-) -> dict[str, tuple[float, float]]:
+) -> dict[str, list[float]]:
     """Bounds from a quantile sketch: one pass, no shuffle of the values."""
     found = df.approxQuantile(list(columns), [1 - quantile, quantile], relative_error)
-    return {c: tuple(pair) for c, pair in zip(columns, found) if pair}
+    return {c: list(pair) for c, pair in zip(columns, found) if pair}
 
 
-def clip(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
+def clip(df: DataFrame, bounds: dict[str, list[float]]) -> DataFrame:
     return df.withColumns(
         {
             c: F.least(F.greatest(F.col(c), F.lit(float(low))), F.lit(float(high)))

@@ -6,13 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from flowvigil.functions.coercion import number_or_null
+from flowvigil.functions.coercion import number_or_null, strip
 from flowvigil.operators.prepare import ENDPOINT_ALIASES
 from flowvigil.schema import FLOW, FLOW_OPTIONAL, SCORED_FLOW
 
 _DOTTED = {plain: dotted for dotted, plain in ENDPOINT_ALIASES.items()}
 _RECORD = T.StructType(FLOW.fields + FLOW_OPTIONAL.fields)
-_CORRUPT = "_malformed"
 
 # Columns of the tab-separated flow log, in file order.
 TSV_COLUMNS = (
@@ -90,22 +89,12 @@ def read_csv_without_header(
     spark: SparkSession, path: str | list[str], schema: T.StructType = SCORED_FLOW
 ) -> DataFrame:
     """Comma-separated file with forced names: long lines are skipped, short ones are padded."""
-    text = T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in schema.fields]
-        + [T.StructField(_CORRUPT, T.StringType())]
-    )
-    rows = (
-        spark.read.schema(text)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", _CORRUPT)
-        # The width of a line is only checked when all of its columns are parsed.
-        .option("columnPruning", False)
-        .csv(path)
-    )
-    # A line of the wrong width is marked; quoted text is not searched for separators.
-    bare = F.regexp_replace(F.coalesce(_CORRUPT, F.lit("")), '"(?:[^"]|"")*"', "")
-    fits = F.size(F.split(bare, ",")) <= len(schema.fields)
-    return typed(rows.where(fits).drop(_CORRUPT), schema)
+    lines = spark.read.text(path).where(strip("value") != "")
+    # Separators inside quotes do not count towards the width of a line.
+    bare = F.regexp_replace("value", '"(?:[^"]|"")*"', "")
+    fitting = lines.where(F.size(F.split(bare, ",")) <= len(schema.fields))
+    fields = F.from_csv("value", ", ".join(f"{name} string" for name in schema.names), {"mode": "PERMISSIVE"})
+    return typed(fitting.select(fields.alias("f")).select("f.*"), schema)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

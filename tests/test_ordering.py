@@ -41,7 +41,7 @@ def test_dedupe_keys(spark):
 
 
 def test_dedupe_limits_rows_before_the_shuffle(spark):
-    df = prepare.dedupe(spark.range(10).selectExpr("'u' AS uid", "id AS ts"))
+    df = prepare.dedupe(spark.range(10).selectExpr("CAST(id % 3 AS STRING) AS uid", "id AS ts"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.index("WindowGroupLimit") < plan.rindex("WindowGroupLimit")
 
