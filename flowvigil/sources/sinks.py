@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -18,7 +19,7 @@ BATCH = T.StructField("batch", T.LongType())
 def append_batch(
     df: DataFrame, path: str, batch: int, time_column: str, partition_by: Sequence[str] = ()
 ) -> None:
-    """Append one numbered batch, partitioned by event date.
+    """Append one numbered batch to a small table, partitioned by event date.
 
     Each batch owns a folder and replaces it when it runs again, so a retried batch never
     shows twice.
@@ -29,23 +30,58 @@ def append_batch(
     )
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All appended batches; filters on ``event_date`` and ``batch`` skip whole folders."""
+def append_by_day(
+    df: DataFrame, path: str, batch: int, time_column: str, partition_by: Sequence[str] = ()
+) -> None:
+    """Append one numbered batch to a large table with a folder per event date.
+
+    A retried batch holds the same rows and replaces exactly the partitions it wrote before.
+    """
+    dated = df.withColumns(
+        {
+            "event_date": F.to_date(epoch_to_timestamp(time_column)),
+            "batch": F.lit(batch).cast("bigint"),
+        }
+    )
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "event_date", "batch", *partition_by
+    ).parquet(path)
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, since: float | None = None
+) -> DataFrame:
+    """Appended rows; filters on ``event_date`` and ``batch`` skip whole folders.
+
+    With ``since`` the folders of earlier days are not even listed, where days come first.
+    """
     full = T.StructType([*schema.fields, EVENT_DATE, BATCH])
     if not path_exists(spark, path):
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).option("basePath", path).parquet(path)
+    reader = spark.read.schema(full).option("basePath", path)
+    days = _folders(spark, f"{path}/event_date=*")
+    if since is None or not days:
+        return reader.parquet(path)
+    first = f"event_date={datetime.fromtimestamp(since, timezone.utc):%Y-%m-%d}"
+    recent = [day for day in days if day.rsplit("/", 1)[-1] >= first]
+    return reader.parquet(*recent) if recent else spark.createDataFrame([], full)
 
 
 def read_since(
     spark: SparkSession, path: str, schema: T.StructType, time_column: str, since: float
 ) -> DataFrame:
     """Appended rows from ``since`` on; older date folders are not read."""
-    rows = read_batches(spark, path, schema)
+    rows = read_batches(spark, path, schema, since)
     first_day = F.to_date(epoch_to_timestamp(F.lit(float(since))))
     return rows.where((F.col("event_date") >= first_day) & (F.col(time_column) >= since))
 
 
+def _folders(spark: SparkSession, pattern: str) -> list[str]:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().toString() for status in files.globStatus(target) or [])
+
+
 class BanState:
     """Last ban time per address as numbered versions; a reader sees only complete ones."""
 
@@ -86,9 +122,7 @@ def save_models(models: Sequence[GBTClassificationModel], folder: str) -> None:
 
 def load_models(spark: SparkSession, folder: str) -> list[GBTClassificationModel]:
     """Fold models in fold order; it is an error when there are none."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/fold=*")
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    paths = sorted(status.getPath().toString() for status in files.globStatus(target) or [])
+    paths = _folders(spark, f"{folder}/fold=*")
     if not paths:
         raise FileNotFoundError(f"no fold models under {folder}")
     return [GBTClassificationModel.load(path) for path in paths]

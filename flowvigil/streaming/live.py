@@ -18,7 +18,7 @@ from flowvigil.config import BanConfig, MergeConfig, RuleProfile
 from flowvigil.functions.coercion import epoch_to_timestamp
 from flowvigil.operators import alerts as a, detectors as d, response
 from flowvigil.schema import BAN_DECISION, MERGED_ALERT, RULE_ALERT, SCORE
-from flowvigil.sources.sinks import BanState, append_batch, read_batches, read_since
+from flowvigil.sources.sinks import BanState, append_batch, append_by_day, read_batches, read_since
 from flowvigil.staging import Staging
 
 
@@ -64,13 +64,15 @@ def process_batch(run: LiveRun, flows: DataFrame, batch: int) -> None:
     spark = flows.sparkSession
     scored = a.with_prediction(run.score(flows), run.threshold)
     # Flagged and passed flows are two partitions of one table, written in one pass.
-    append_batch(
+    append_by_day(
         scored.select(*[F.col(f.name).cast(f.dataType) for f in run.scored_schema.fields]),
         run.path("scored"), batch, "ts", partition_by=("pred",),
     )
     written = run.table(spark, "scored").where(F.col("batch") <= batch)
     if run.clock is None:
-        newest = written.agg(F.max("ts")).first()[0]
+        # Only the newest day's files can hold the newest flow.
+        last_day = written.agg(F.max("event_date")).scalar()
+        newest = written.where(F.col("event_date") == last_day).agg(F.max("ts")).first()[0]
         if newest is None:
             return
         now = float(newest)
