@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from flowvigil.plans import catalogue
 from compare import differences, duckdb_over
 
 FOLDER = "/root/testdata/sf0.001"
-ORACLE = entry_points.oracle_sql()
+ORACLE = catalogue.oracle_sql()
 # Queries over model training are exercised in test_learning.
 SLOW = {"gbt_oof", "ensemble_score"}
 
@@ -18,13 +19,13 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, duck, name):
-    frame = entry_points.queries()[name](spark, FOLDER).toPandas()
+    frame = catalogue.queries()[name](spark, FOLDER).toPandas()
     assert differences(frame, duck.execute(ORACLE[name]).df()) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalogue.queries()) - set(ORACLE) - SLOW))
 def test_has_rows(spark, name):
-    assert entry_points.queries()[name](spark, FOLDER).count() > 0
+    assert catalogue.queries()[name](spark, FOLDER).count() > 0
 
 
 def test_entry_has_rows(spark):
@@ -32,4 +33,4 @@ def test_entry_has_rows(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(ORACLE) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(catalogue.queries())
