@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowvigil.llm import packing, simhash, tokens
+from flowvigil.llm import mixing, packing, simhash, spotsigs, tokens
 from flowvigil.llm.shared import table
 from flowvigil.staging import Staging
 
@@ -37,10 +37,67 @@ def op5_harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.with_next(table(spark, folder, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents, _, _ = mixing.mix(table(spark, folder, "documents"), Staging(spark))
+    return documents.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op4_simhash": op4_simhash,
     "op5_harmonic_packing": op5_harmonic_packing,
+    "op6_spotsigs": op6_spotsigs,
+    "op7_source_mixing": op7_source_mixing,
 }
 
-ORACLE: dict[str, str] = {}
+#: The same rules over plain windows: water line, block permutation and the words of every slot.
+OP7_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+by_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+ranked AS (
+  SELECT source, source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM by_source),
+weighed AS (
+  SELECT *, [5.0, 2.0, 1.0][1 + rank % 3]::DOUBLE AS weight, (2 * source_size)::DOUBLE AS most FROM ranked),
+leveled AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(most) OVER (
+      ORDER BY most / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+    / sum(weight) OVER (ORDER BY most / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+line AS (SELECT arg_min(level, most / weight) AS line FROM leveled WHERE most / weight > level),
+targets AS (
+  SELECT rank, source, source_size,
+    CASE WHEN most / weight <= level THEN most ELSE line * weight END AS target FROM leveled LEFT JOIN line ON true),
+counted AS (
+  SELECT *, floor(target + 0.5)::BIGINT AS words, ((source_size + 127) // 128)::BIGINT AS blocks FROM targets WHERE source_size > 0),
+quotas AS (
+  SELECT rank, source_size, blocks, words // source_size AS passes, words % source_size AS over,
+    (words // source_size) * blocks + (words % source_size + 127) // 128 AS slots FROM counted),
+slots AS (
+  SELECT rank, source_size, blocks, passes, over, slots, slot, slot // blocks AS turn, slot % blocks AS index
+  FROM quotas, LATERAL (SELECT unnest(generate_series(0, slots - 1)) AS slot)),
+mapped AS (
+  SELECT rank,
+    CASE WHEN index = blocks - 1 THEN index ELSE (index * CASE WHEN (blocks - 1) % 134217689 <> 0 THEN 134217689 ELSE 67108859 END
+      + rank * 7919 + turn * 104729) % greatest(blocks - 1, 1) END AS block,
+    CASE WHEN turn = passes AND slot = slots - 1 THEN over - index * 128
+      WHEN index = blocks - 1 THEN source_size - index * 128 ELSE 128 END AS words
+  FROM slots),
+placed AS (
+  SELECT row_number() OVER () AS row, t.rank, doc_id, size, source_size, target,
+    sum(size) OVER (PARTITION BY t.rank ORDER BY doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+pieces AS (
+  SELECT *, unnest(generate_series((start // 128)::BIGINT, ((start + size - 1) // 128)::BIGINT)) AS block
+  FROM placed WHERE size > 0),
+taken AS (
+  SELECT row, sum(greatest(least(start + size - p.block * 128, 128, words) - greatest(start - p.block * 128, 0), 0))::BIGINT AS taken
+  FROM pieces p JOIN mapped m ON p.rank = m.rank AND p.block = m.block GROUP BY row)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM placed LEFT JOIN taken USING (row)
+"""
+
+ORACLE: dict[str, str] = {"op7_source_mixing": OP7_SQL}
