@@ -5,15 +5,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowvigil.llm import mixing, packing, simhash, spotsigs, tokens
+from flowvigil.llm import mixing, packing, quality, simhash, spotsigs, tokens
 from flowvigil.llm.shared import table
 from flowvigil.staging import Staging
 
+#: Score from which a document counts as good.
+QUALITY_BOUND = 0.3
 TOKEN_LIMIT = 4096
 #: Ends a document in a packed sequence.
 END_ID = 2
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"), Staging(spark))
+    return quality.score(docs, model).withColumn(
+        "predicted", F.when(F.col("score") >= QUALITY_BOUND, 1).otherwise(0)
+    )
+
+
 def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     counted = tokens.token_counts(
         table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), (TOKEN_LIMIT,)
@@ -47,6 +57,7 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
     "op4_simhash": op4_simhash,
     "op5_harmonic_packing": op5_harmonic_packing,
