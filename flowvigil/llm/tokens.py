@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame, functions as F
 from flowvigil.llm.shared import map_batches
 
 SPACE = "▁"
-#: Segments that a worker remembers before it starts afresh.
+#: Segments, their parts and pairs of tokens that a worker remembers before it starts afresh.
 REMEMBERED = 300_000
+REMEMBERED_PARTS = 600_000
 
 
 class PrefixCounter:
@@ -62,6 +63,8 @@ class PrefixCounter:
         key = (before, token)
         known = self.goes_with.get(key)
         if known is None:
+            if len(self.goes_with) >= REMEMBERED_PARTS:
+                self.goes_with.clear()
             joined = self._pieces_of(before + token)
             known = self.goes_with[key] = (
                 joined == [before, token]
@@ -111,9 +114,8 @@ class PrefixCounter:
             part = text[a:b]
             table = self.parts.get(part)
             if table is None:
-                if len(self.parts) >= REMEMBERED:
+                if len(self.parts) >= REMEMBERED_PARTS:
                     self.parts.clear()
-                    self.goes_with.clear()
                 table = self.parts[part] = self._part(part)
             tables.append(table)
         return b"".join(tables)
