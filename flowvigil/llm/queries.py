@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowvigil.llm import mixing, packing, quality, simhash, spotsigs, tokens
+from flowvigil.llm import mixing, packing, quality, simhash, spotsigs, tokens, topk
 from flowvigil.llm.shared import table
 from flowvigil.staging import Staging
 
@@ -56,6 +56,10 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"), Staging(spark), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -63,6 +67,7 @@ QUERIES = {
     "op5_harmonic_packing": op5_harmonic_packing,
     "op6_spotsigs": op6_spotsigs,
     "op7_source_mixing": op7_source_mixing,
+    "op9_topk": op9_topk,
 }
 
 #: The same rules over plain windows: water line, block permutation and the words of every slot.
@@ -111,4 +116,18 @@ taken AS (
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM placed LEFT JOIN taken USING (row)
 """
 
-ORACLE: dict[str, str] = {"op7_source_mixing": OP7_SQL}
+#: Every pair of a query and a row, by plain products.
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE: dict[str, str] = {"op7_source_mixing": OP7_SQL, "op9_topk": OP9_SQL}
