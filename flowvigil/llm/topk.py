@@ -175,36 +175,39 @@ def top_k(
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, least = [], []
             for dim, ids, packed in zip(*(batch.column(c).to_pylist() for c in ("dim", "ids", "vectors"))):
                 held, block = Block(ids, packed, dim), Block(*starts[dim], dim)
                 found = [
                     best(q, w, own, block, -np.inf, k)[1]
                     for q, w, own in zip(held.values, held.whole, held.ids.tolist())
                 ]
-                out.append(np.array([s[k - 1] if len(s) == k else -np.inf for s in found], dtype=np.float64).tobytes())
-            columns = [*batch.columns, pa.array(out, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "bounds"])
+                limits = np.array([s[k - 1] if len(s) == k else -np.inf for s in found], dtype=np.float64)
+                out.append(limits.tobytes())
+                least.append(float(limits.min()))
+            columns = [*batch.columns, pa.array(out, pa.binary()), pa.array(least, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "bounds", "least"])
 
     types = ", ".join(f"{c} {t}" for c, t in queries.dtypes)
-    bounded = staging.table(queries.mapInArrow(bounds, f"{types}, bounds binary"), "queries")
-    pairs = bounded.select(
+    bounded = staging.table(queries.mapInArrow(bounds, f"{types}, bounds binary, least double"), "queries")
+    buckets = F.array(
+        *[
+            F.struct(F.lit(d).alias("d"), F.lit(b).alias("bucket"), F.lit(n).alias("n"), F.lit(far).alias("far"))
+            for (d, b), (n, far) in sorted(parts.items())
+        ]
+    )
+    # A bucket whose longest vector can't lift any of the queries to its bound is left out.
+    reached = F.col("least") <= F.col("longest") * F.col("of.far") * (1 + SLACK)
+    pairs = bounded.select("*", F.explode(buckets).alias("of")).where((F.col("dim") == F.col("of.d")) & reached)
+    pairs = pairs.select(
         "dim",
         "lot",
         F.col("ids").alias("query_ids"),
         F.col("vectors").alias("queries"),
         "bounds",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(d).alias("d"), F.lit(b).alias("bucket"), F.lit(p).alias("part"))
-                    for (d, b), (n, _) in sorted(parts.items())
-                    for p in range(n)
-                ]
-            )
-        ).alias("block"),
-    ).where(F.col("dim") == F.col("block.d"))
-    pairs = pairs.select("dim", "lot", "query_ids", "queries", "bounds", "block.bucket", "block.part")
+        "of.bucket",
+        F.explode(F.sequence(F.lit(0), F.col("of.n") - 1)).alias("part"),
+    )
     # Queries in blocks against all rows in blocks: each pair of blocks is one row.
     met = pairs.repartition(shuffle_width(spark), "dim", "bucket", "part", "lot").join(
         blocks.drop("longest"), ["dim", "bucket", "part"]
