@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowvigil.llm import mixing, packing, quality, simhash, spotsigs, tokens, topk
+from flowvigil.llm import extraction, mixing, packing, quality, simhash, spotsigs, tokens, topk
 from flowvigil.llm.shared import table
 from flowvigil.staging import Staging
 
@@ -56,6 +56,11 @@ def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return extraction.extract(pages, extraction.fit(pages, Staging(spark)))
+
+
 def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), Staging(spark), F.col("vec_id") % 50 == 0)
 
@@ -67,6 +72,7 @@ QUERIES = {
     "op5_harmonic_packing": op5_harmonic_packing,
     "op6_spotsigs": op6_spotsigs,
     "op7_source_mixing": op7_source_mixing,
+    "op8_html_extraction": op8_html_extraction,
     "op9_topk": op9_topk,
 }
 
