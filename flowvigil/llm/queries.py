@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowvigil.llm import extraction, mixing, packing, quality, simhash, spotsigs, tokens, topk
+from flowvigil.llm import extraction, mixing, packing, passages, quality, simhash, spotsigs, tokens, topk
 from flowvigil.llm.shared import table
 from flowvigil.staging import Staging
 
@@ -37,6 +37,10 @@ def op2_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeats(table(spark, folder, "documents"), Staging(spark))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), Staging(spark))
 
@@ -68,6 +72,7 @@ def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_simhash": op4_simhash,
     "op5_harmonic_packing": op5_harmonic_packing,
     "op6_spotsigs": op6_spotsigs,
