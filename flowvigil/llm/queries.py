@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowvigil.llm import extraction, mixing, packing, passages, quality, simhash, spotsigs, tokens, topk
+from flowvigil.llm import extraction, mixing, packing, passages, pseudo_likelihood, quality, simhash, spotsigs, tokens, topk
 from flowvigil.llm.shared import table
 from flowvigil.staging import Staging
 
@@ -69,6 +69,11 @@ def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"), Staging(spark), F.col("vec_id") % 50 == 0)
 
 
+def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -79,6 +84,7 @@ QUERIES = {
     "op7_source_mixing": op7_source_mixing,
     "op8_html_extraction": op8_html_extraction,
     "op9_topk": op9_topk,
+    "op10_pseudo_likelihood": op10_pseudo_likelihood,
 }
 
 #: The same rules over plain windows: water line, block permutation and the words of every slot.
