@@ -12,7 +12,11 @@ from flowvigil.staging import shared_folder
 
 #: (name, function); a function takes (spark, docs, sf_dir).
 STAGES = [
+    ("good_quality", stages.good_quality),
     ("near_duplicates", stages.near_duplicates),
+    ("repeated_passages", stages.repeated_passages),
+    ("source_mix", stages.source_mix),
+    ("packed", stages.packed),
 ]
 
 #: The rows of run() depend on trained scores, fingerprints and tokenizers, which SQL has not.

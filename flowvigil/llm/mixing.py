@@ -117,7 +117,7 @@ def permuted(index: Column, rank: Column, turn: Column, full_blocks: Column) ->
 
 
 def draw(quota: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, seed: int = 42) -> DataFrame:
-    """All slots of the mix: shard, rank, slot (number in the source), block and words.
+    """All slots of the mix: shard, rank, slot (number in the source), turn, block and words.
 
     ``quota`` is read several times; stage it before.
     """
@@ -159,6 +159,7 @@ def draw(quota: DataFrame, block: int = BLOCK, shard_slots: int = SHARD_SLOTS, s
         "shard",
         "rank",
         "slot",
+        "turn",
         F.when(F.col("index") == last, last)
         .otherwise(permuted(F.col("index"), F.col("rank"), F.col("turn"), F.greatest(last, F.lit(1))))
         .alias("block"),
@@ -189,7 +190,7 @@ def blocks_of(placed: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def mix(
+def mixture(
     df: DataFrame,
     staging: Staging,
     weights: tuple[int, ...] = WEIGHTS,
@@ -200,17 +201,7 @@ def mix(
     text_column: str = "text",
     source_column: str = "source",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(documents, slots, sources).
-
-    documents: doc_id, source, size, source_size, target, start (words of the source before it)
-    and taken (words the mix takes, repeats counted), one row per input row. slots: see ``draw``.
-    sources: see ``targets``.
-
-    A null text has size 0 and nothing taken. Null sources are one source, the last. Repeated
-    rows are rows of their own; a null doc_id stands first in its source. Among rows of one
-    doc_id and source the shorter stands first. An empty table gives empty results.
-    """
-    spark = df.sparkSession
+    """(placed documents, slots, sources): what ``mix`` and ``mixed_documents`` are derived from."""
     sized = staging.table(sizes(df, id_column, text_column, source_column), "sizes")
     wanted = staging.table(targets(sized, weights, share, repeats), "targets")
     before = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
@@ -223,15 +214,61 @@ def mix(
         "start", F.col("upto") - F.col("size") - F.col("words_before")
     )
     placed = staging.table(placed.drop("upto", "words_before"), "placed")
-    slots = draw(staging.table(quotas(wanted, block), "quotas"), block)
-    pieces = blocks_of(placed, block).join(slots.select("rank", "block", "words"), ["rank", "block"])
-    taken = pieces.groupBy("rank", "start", "doc_id", "size").agg(
-        F.sum(F.greatest(F.least("end", "words") - F.col("first"), F.lit(0))).alias("taken")
-    )
+    return placed, draw(staging.table(quotas(wanted, block), "quotas"), block), wanted
+
+
+def taken_pieces(placed: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
+    """What every slot takes of every document in its block: words ``low`` to ``high`` of the document."""
+    pieces = blocks_of(placed, block).join(slots.select("rank", "turn", "block", "words"), ["rank", "block"])
+    low = F.col("block") * block + F.col("first") - F.col("start")
+    length = F.greatest(F.least("end", "words") - F.col("first"), F.lit(0))
+    return pieces.select("rank", "start", "doc_id", "size", "turn", low.alias("low"), (low + length).alias("high"))
+
+
+def mix(df: DataFrame, staging: Staging, **options) -> DataFrame:
+    """doc_id, source, size, source_size, target, start and taken, one row per input row.
+
+    ``start`` counts the words of the source before the document, ``taken`` the words that the mix takes of it,
+    repeats counted. Options are those of ``mixture``.
+
+    A null text has size 0 and nothing taken. Null sources are one source, the last. Repeated
+    rows are rows of their own; a null doc_id stands first in its source. Among rows of one
+    doc_id and source the shorter stands first. An empty table gives an empty result.
+    """
+    placed, slots, _ = mixture(df, staging, **options)
+    pieces = taken_pieces(placed, slots, options.get("block", BLOCK))
+    taken = pieces.groupBy("rank", "start", "doc_id", "size").agg(F.sum(F.col("high") - F.col("low")).alias("taken"))
     # Only documents without words share their start with another one.
     some = placed.where(F.col("size") > 0).join(taken.select("rank", "start", "taken"), ["rank", "start"], "left")
     none = placed.where(F.col("size") == 0).withColumn("taken", F.lit(0).cast("bigint"))
     documents = some.unionByName(none).withColumn("taken", F.coalesce("taken", F.lit(0).cast("bigint")))
-    return documents.select(
-        "doc_id", "source", "size", "source_size", "target", "start", "taken"
-    ), slots, wanted
+    return documents.select("doc_id", "source", "size", "source_size", "target", "start", "taken")
+
+
+def mixed_documents(df: DataFrame, staging: Staging, text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` as often and as far as the mix takes them, with the same columns.
+
+    A pass over a source gives a row for each document it takes words of. A document taken whole keeps
+    its text as it is; of another one the words taken stand, in order, with one space between them. Documents
+    without words, or with a null text, are in no block and so in no mix.
+    """
+    rows = staging.table(df.withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
+    placed, slots, _ = mixture(rows, staging, id_column="_row", text_column=text_column, **options)
+    pieces = taken_pieces(placed, slots, options.get("block", BLOCK)).where(F.col("high") > F.col("low"))
+    # As many spans as the document has blocks.
+    taken = pieces.groupBy(F.col("doc_id").alias("_row"), "turn").agg(
+        F.first("size").alias("_size"),
+        F.sum(F.col("high") - F.col("low")).alias("_taken"),
+        F.sort_array(F.collect_list(F.struct("low", "high"))).alias("_spans"),
+    )
+    words = F.regexp_extract_all(F.col(text_column), F.lit(WORD), F.lit(0))
+    parts = F.flatten(
+        F.transform(
+            "_spans",
+            lambda s: F.slice(F.col("_words"), (s["low"] + 1).cast("int"), (s["high"] - s["low"]).cast("int")),
+        )
+    )
+    joined = rows.join(taken, "_row")
+    whole = joined.where(F.col("_taken") == F.col("_size")).select(*df.columns)
+    cut = joined.where(F.col("_taken") < F.col("_size")).withColumn("_words", words)
+    return whole.unionByName(cut.withColumn(text_column, F.array_join(parts, " ")).select(*df.columns))

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
@@ -206,6 +207,8 @@ class QualityModel:
     def scores(self, texts: list[str]) -> np.ndarray:
         if self.network is None:
             return np.full(len(texts), self.share)
+        if not texts:
+            return np.zeros(0)
         rows = np.stack([pooled(x, self.contexts) for x in texts])
         return self.network.probabilities(rows)
 
@@ -288,3 +291,15 @@ def score(
 
     arrow = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64())])
     return map_batches(rows, run, "doc_id bigint, held_out boolean, score double", arrow)
+
+
+def keep_good(
+    docs: DataFrame, model: QualityModel, bound: float, text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that score at least ``bound``, with all their columns."""
+
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
+        return pd.Series(model.scores([x or "" for x in texts]))
+
+    return docs.where(scored(F.col(text_column).cast("string")) >= bound)

@@ -7,13 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowvigil.llm import extraction, mixing, packing, passages, pseudo_likelihood, quality, simhash, spotsigs, tokens, topk
 from flowvigil.llm.shared import table
+from flowvigil.llm.stages import END_ID, QUALITY_BOUND
 from flowvigil.staging import Staging
 
-#: Score from which a document counts as good.
-QUALITY_BOUND = 0.3
 TOKEN_LIMIT = 4096
-#: Ends a document in a packed sequence.
-END_ID = 2
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -56,8 +53,7 @@ def op6_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    documents, _, _ = mixing.mix(table(spark, folder, "documents"), Staging(spark))
-    return documents.select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, folder, "documents"), Staging(spark)).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,21 +1,57 @@
-"""The stages of the corpus pipeline, each with one operator of this subpackage."""
+"""The stages of the corpus pipeline, each with one operator of this subpackage.
+
+A stage takes (spark, docs, sf_dir) and returns the columns of ``docs``; the last returns packed pieces.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowvigil.llm import simhash
+from flowvigil.llm import mixing, packing, passages, quality, simhash
+from flowvigil.llm.shared import table
 from flowvigil.staging import Staging
 
+#: Score from which a document counts as good.
+QUALITY_BOUND = 0.3
+#: Ends a document in a packed sequence.
+END_ID = 2
+
+
+def with_length(docs: DataFrame) -> DataFrame:
+    """``n_chars`` set to the length of the text as it is now."""
+    return docs.withColumn("n_chars", F.coalesce(F.char_length("text").cast("bigint"), F.col("n_chars")))
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents that the classifier, fitted on the labelled ones among them, scores as good."""
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), Staging(spark))
+    return quality.keep_good(docs, model, QUALITY_BOUND)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest doc_id of every near-duplicate component.
 
-    Among repeated rows of that doc_id one row stays, the smallest by its text. Rows with a null
-    doc_id have no place in that order and stay.
+    Of repeated rows of that doc_id one row stays. Rows with a null doc_id have no place in that
+    order and stay.
     """
     found = simhash.near_duplicates(docs, Staging(spark))
     keepers = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    named = docs.where(F.col("doc_id").isNotNull()).join(keepers, "doc_id", "left_semi")
-    unnamed = docs.where(F.col("doc_id").isNull())
-    return named.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(unnamed)
+    named = docs.join(keepers, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut passages out that an earlier document holds too; a document of nothing else goes."""
+    found = passages.repeats(docs, Staging(spark))
+    return with_length(passages.without_repeats(docs, found))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take documents as often and as far as the target weights of their sources ask for."""
+    return with_length(mixing.mixed_documents(docs, Staging(spark)))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 4096 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
