@@ -285,14 +285,32 @@ def profile(name: str) -> RuleProfile:
 
 
 def override(config, values: dict):
-    """A copy of a detector configuration with the known keys of ``values`` replaced."""
-    known = {f.name: type(getattr(config, f.name)) for f in dataclasses.fields(config)}
+    """A copy of a detector configuration with the known keys of ``values`` replaced.
+
+    A value of another kind than the setting (text for a switch, say) is an error.
+    """
+    known = {f.name: getattr(config, f.name) for f in dataclasses.fields(config)}
     changes = {
-        key: known[key](value) for key, value in values.items() if key in known and value is not None
+        key: _as_kind(key, value, known[key]) for key, value in values.items() if key in known and value is not None
     }
     return dataclasses.replace(config, **changes)
 
 
+def _as_kind(key: str, value, now):
+    """``value`` in the type of the present setting."""
+    kind = type(now)
+    if kind is tuple:
+        fits = isinstance(value, list | tuple | set | frozenset)
+    elif kind in (int, float):
+        fits = isinstance(value, int | float) and not isinstance(value, bool)
+        fits = fits and (kind is float or float(value).is_integer())
+    else:
+        fits = isinstance(value, kind)
+    if not fits:
+        raise TypeError(f"{key} takes {kind.__name__}, not {value!r}")
+    return kind(value)
+
+
 def with_windows(base: RuleProfile, short: int, long: int) -> RuleProfile:
     """Profile whose windows come from run arguments; brute force never goes below 60/600 s."""
     span = dict(short_window_seconds=short, long_window_seconds=long)
@@ -369,7 +387,8 @@ FALLBACK_THRESHOLD = 0.5
 
 @dataclass(frozen=True)
 class MergeConfig:
-    max_rows: int = 250_000
+    # 0 keeps all alerts; a cap is for whoever wants only the newest ones.
+    max_rows: int = 0
     window_seconds: int = 0
     cooldown_seconds: int = 0
 
@@ -390,16 +409,4 @@ class BanConfig:
 
 
 # Addresses that are never banned.
-BUILTIN_WHITELIST = ("127.0.0.1", "::1", "192.168.1.36")
-
-
-@dataclass(frozen=True)
-class LiveConfig:
-    """Settings of the live loop."""
-
-    short_seconds: int = 5
-    long_seconds: int = 60
-    window_seconds: int = 120
-    max_rows: int = 200_000
-    merge: MergeConfig = MergeConfig(max_rows=200_000, window_seconds=3600, cooldown_seconds=300)
-    ban: BanConfig = BanConfig(only_latest=True)
+BUILTIN_WHITELIST = ("127.0.0.1", "::1")

@@ -74,7 +74,7 @@ def rollup(flows: DataFrame, slot_seconds: int) -> DataFrame:
             flow.echo_like("history")
             & ((F.lower("proto") == "icmp") | (F.lower("service") == "icmp"))
         ).alias("echo_like"),
-        flow.time_bin("ts", slot_seconds).alias("slot"),
+        flow.time_bin("ts", slot_seconds).alias("slot", metadata={"seconds": slot_seconds}),
         flow.failed("conn_state").cast("bigint").alias("fails"),
         flow.succeeded("conn_state").cast("bigint").alias("successes"),
         F.col("syn_noack").alias("syn"),
@@ -89,7 +89,13 @@ def rollup(flows: DataFrame, slot_seconds: int) -> DataFrame:
 
 
 def with_windows(rows: DataFrame, short: int, long: int) -> DataFrame:
-    """Add the starts of the short and the long window that hold each slot."""
+    """Add the starts of the short and the long window that hold each slot.
+
+    A window that the rollup's slot doesn't divide would cut through slots and is an error.
+    """
+    seconds = rows.schema["slot"].metadata.get("seconds")
+    if seconds and (short % seconds or long % seconds):
+        raise ValueError(f"windows of {short} and {long} s are no multiples of the slot of {seconds} s")
     return rows.withColumns(
         {"short_bin": flow.rebin("slot", short), "long_bin": flow.rebin("slot", long)}
     )

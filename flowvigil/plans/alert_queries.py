@@ -72,14 +72,6 @@ def _decisions(spark, folder) -> DataFrame:
     )
 
 
-def _browse(spark, folder) -> DataFrame:
-    merged = _merged(spark, folder, MergeConfig(max_rows=0))
-    # The stamp is one constant here; the alert time gives the order its content.
-    merged = merged.withColumn("ts_merged", F.coalesce("ts", F.lit(0.0)))
-    merged = merged.withColumn("severity", F.when(F.col("source") == "ml", "high").otherwise(F.col("severity")))
-    return _shown(browse.browse_alerts(merged.where("uid IS NOT NULL"), "med", ("ml",), limit=500))
-
-
 def _split(spark, folder) -> DataFrame:
     flagged, passed = a.split_scored(scored_flows(spark, folder))
     return flagged.select("uid", "pred").unionByName(passed.select("uid", "pred"))
@@ -129,7 +121,8 @@ QUERIES = {
     "ban_state_update": lambda s, f: _shown(
         response.updated_state(_ban_state(s, f), _decisions(s, f))
     ),
-    "alerts_browse": _browse,
+    "alerts_browse": lambda s, f: _shown(browse.browse_alerts(_merged(s, f), "med", ("RULES", "ml"))),
+    "alerts_browse_all": lambda s, f: _shown(browse.browse_alerts(_merged(s, f), "low", (), limit=1000)),
     "recent_bans": lambda s, f: _shown(browse.recent_bans(_ban_log(s, f))),
 }
 
@@ -149,11 +142,18 @@ _STATE = """state AS (SELECT attacker_ip AS ip, max(ts_generated) AS last FROM r
 _DECIDED = f"""cand AS (SELECT attacker_ip AS ip, count(*) AS n_rows FROM rules, clock
   WHERE ts_generated >= now - {BANS.since_seconds} AND lower(trim(severity)) IN ('med', 'high') AND type <> 'none'
     AND attacker_ip IS NOT NULL AND attacker_ip <> 'nan'
-    AND attacker_ip NOT IN ('127.0.0.1', '::1', '192.168.1.36', '10.0.0.9', '10.0.0.17', '45.33.0.1')
+    AND attacker_ip NOT IN ('127.0.0.1', '::1', '10.0.0.9', '10.0.0.17', '45.33.0.1')
   GROUP BY ALL HAVING count(*) >= {BANS.proof_min} ORDER BY n_rows DESC, ip LIMIT {BANS.ban_limit}),
 decided AS (SELECT ip, n_rows, now AS added_ts, now + {BANS.block_seconds} AS expires_ts, 'ml_blacklist' AS set_name
   FROM cand LEFT JOIN state USING (ip), clock WHERE now - coalesce(last, 0) >= {BANS.cooldown_seconds})"""
 
+# All alerts carry one stamp, so the other columns, in the order shown, decide.
+_BROWSED = """SELECT round(ts, 6) AS ts, round(now, 6) AS ts_merged, source, coalesce(type, '') AS type,
+  lower(trim(coalesce(severity, ''))) AS severity, coalesce(attacker_ip, '') AS attacker_ip, coalesce(target_ip, '') AS target_ip,
+  proto, service, resp_p, margin, p_cal FROM merged, clock"""
+_BROWSE_ORDER = """merged.ts, source, coalesce(type, ''), lower(trim(coalesce(severity, ''))), coalesce(attacker_ip, ''),
+  coalesce(target_ip, ''), proto, service, resp_p, margin, p_cal"""
+
 ORACLE = {
     "ml_split": f"{_BASE} SELECT uid, pred FROM scored",
     "margin": f"{_BASE} SELECT uid, pred, round(margin, 6) AS margin FROM scored",
@@ -176,10 +176,8 @@ ORACLE = {
       round(expires_ts, 6) AS expires_ts, set_name FROM decided""",
     "ban_state_update": f"""{_BASE}, {_STATE}, {_DECIDED} SELECT ip, round(max(t), 6) AS last_added_ts FROM (
       SELECT ip, last AS t FROM state UNION ALL SELECT ip, added_ts FROM decided) GROUP BY ip""",
-    "alerts_browse": f"""{_BASE} SELECT round(ts, 6) AS ts, round(ts, 6) AS ts_merged, 'ml' AS source, '' AS type,
-      'high' AS severity, '' AS attacker_ip, '' AS target_ip, proto, coalesce(service, '') AS service, resp_p,
-      round(margin, 6) AS margin, p_cal FROM scored WHERE pred = 1
-      ORDER BY scored.ts DESC, proto, scored.service, resp_p, margin, p_cal LIMIT 500""",
+    "alerts_browse": f"{_BASE} {_BROWSED} WHERE lower(trim(severity)) IN ('med', 'high') ORDER BY {_BROWSE_ORDER} LIMIT 500",
+    "alerts_browse_all": f"{_BASE} {_BROWSED} ORDER BY {_BROWSE_ORDER} LIMIT 1000",
     "recent_bans": f"""{_BASE}, log AS (SELECT ts_generated AS ts, attacker_ip AS ip,
         CASE WHEN severity = 'high' THEN 'ipset add ml_blacklist ' || attacker_ip || ' timeout 600'
              ELSE '[actions] skip ' || attacker_ip END AS line FROM rules WHERE attacker_ip IS NOT NULL),

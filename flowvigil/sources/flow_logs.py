@@ -108,13 +108,29 @@ def scan_or_empty(
     path: str,
     schema: T.StructType,
     read: Callable[[SparkSession, str], DataFrame] | None = None,
+    skip_corrupt: bool = False,
 ) -> DataFrame:
     """The table at ``path``, or no rows when there is nothing there yet.
 
-    The default reader is parquet and passes over unreadable files; a 0-byte file has no rows.
+    The default reader is parquet. An unreadable file is an error; with ``skip_corrupt`` it is
+    passed over, and ``skipped_files`` tells which files were.
     """
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
     if read is not None:
         return read(spark, path)
-    return spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(path)
+    return spark.read.schema(schema).option("ignoreCorruptFiles", skip_corrupt).parquet(path)
+
+
+def skipped_files(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The files (column ``file``) that ``skip_corrupt`` passes over: those that give no row.
+
+    A file without rows is listed too. One row per file, so this stays small next to the table.
+    """
+    there = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(
+        F.col("path").alias("file")
+    )
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", True).parquet(path)
+    read = rows.select(F.col("_metadata.file_path").alias("file")).distinct()
+    plain = F.regexp_replace("file", "^file:/+", "/")
+    return there.select(plain.alias("file")).join(read.select(plain.alias("file")), "file", "left_anti")

@@ -89,16 +89,13 @@ class BanState:
         self.spark, self.path = spark, path
 
     def load(self, before: int | None = None) -> DataFrame:
-        """The newest version, or the newest one before a given number."""
-        if not path_exists(self.spark, f"{self.path}/version=*/_SUCCESS"):
+        """The newest complete version, or the newest one before a given number."""
+        complete = [p.rsplit("/", 2)[-2] for p in _folders(self.spark, f"{self.path}/version=*/_SUCCESS")]
+        numbers = [int(name.removeprefix("version=")) for name in complete]
+        usable = [n for n in numbers if before is None or n < before]
+        if not usable:
             return self.spark.createDataFrame([], BAN_STATE)
-        versions = self.spark.read.schema(
-            T.StructType([*BAN_STATE.fields, T.StructField("version", T.LongType())])
-        ).option("basePath", self.path).parquet(self.path)
-        if before is not None:
-            versions = versions.where(F.col("version") < before)
-        newest = versions.agg(F.max("version")).scalar()
-        return versions.where(F.col("version") == newest).select(*BAN_STATE.names)
+        return self.spark.read.schema(BAN_STATE).parquet(f"{self.path}/version={max(usable)}")
 
     def save(self, state: DataFrame, version: int) -> None:
         state.select(*BAN_STATE.names).write.mode("overwrite").parquet(

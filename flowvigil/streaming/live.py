@@ -32,7 +32,8 @@ class LiveRun:
     # Adds ``p_raw`` and ``p_cal`` to a batch of flows.
     score: Callable[[DataFrame], DataFrame]
     threshold: float
-    merge: MergeConfig = MergeConfig(window_seconds=3600, cooldown_seconds=300)
+    # Without a window: a batch merges all of its alerts, however old a backlog makes them.
+    merge: MergeConfig = MergeConfig(cooldown_seconds=300)
     ban: BanConfig = BanConfig(only_latest=True)
     look_back: int | None = None
     max_rows: int | None = None
@@ -153,8 +154,14 @@ def victim_windows(flows: DataFrame, seconds: int) -> DataFrame:
 
 def first_within_watermark(alerts: DataFrame) -> DataFrame:
     """Event-time cooldown on a stream: repeats of a type, attacker and target within the
-    watermark delay are dropped. Missing parts of the key count as equal."""
-    return alerts.dropDuplicatesWithinWatermark(list(a.COOLDOWN_KEY))
+    watermark delay are dropped. Missing parts of the key count as equal.
+
+    An alert without any of the three has no identity to repeat and always passes. A repeat after
+    the delay passes once the watermark has moved beyond the first alert's time plus the delay.
+    """
+    identified = F.coalesce(*a.COOLDOWN_KEY).isNotNull()
+    first = alerts.where(identified).dropDuplicatesWithinWatermark(list(a.COOLDOWN_KEY))
+    return first.unionByName(alerts.where(~identified))
 
 
 def write_updates(stream: DataFrame, folder: str, trigger: dict | None = None) -> StreamingQuery:

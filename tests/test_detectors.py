@@ -276,3 +276,12 @@ def test_read_window(spark):
 def test_missing_columns_and_empty_input(spark):
     flows = spark.createDataFrame([], "ts double, uid string, orig_h string, resp_h string")
     assert d.run_rules(flows, LAB, 1.0).count() == 0
+
+
+def test_windows_must_be_multiples_of_the_slot(spark):
+    from flowvigil.operators import rollup as r
+
+    rows = r.rollup(spark.createDataFrame([(1.0, "a", "b", 1)], "ts double, orig_h string, resp_h string, resp_p int"), 30)
+    with pytest.raises(ValueError):
+        r.with_windows(rows, 20, 60)
+    assert r.with_windows(rows, 60, 90).count() == 1

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from flowvigil.config import DEFAULT, LAB, profile, with_windows
 from flowvigil.operators import learning
@@ -48,7 +48,7 @@ def test_tolerant_scan(spark, tmp_path):
     folder = tmp_path / "mixed"
     spark.createDataFrame([("u",)], "uid string").write.parquet(str(folder))
     (folder / "part-broken.parquet").write_text("not parquet at all")
-    assert logs.scan_or_empty(spark, str(folder), FLOW).where("uid IS NOT NULL").count() == 1
+    assert logs.scan_or_empty(spark, str(folder), FLOW, skip_corrupt=True).where("uid IS NOT NULL").count() == 1
 
 
 def test_rule_files(spark, tmp_path):
@@ -147,3 +147,25 @@ def test_learning_round_trip(spark, tmp_path):
     assert {"p_raw", "p_cal", "pred", "margin"} <= set(final.columns) and final.count() == 120
     data.unpersist()
     assert final.where(F.col("pred").isNull()).count() == 0
+
+
+def test_ban_state_reads_only_complete_versions(spark, tmp_path):
+    store = sinks.BanState(spark, str(tmp_path / "state"))
+    rows = lambda t: spark.createDataFrame([("1.1.1.1", t)], BAN_STATE)
+    assert store.load().count() == 0
+    store.save(rows(1.0), 0)
+    store.save(rows(2.0), 1)
+    (tmp_path / "state" / "version=1" / "_SUCCESS").unlink()
+    assert store.load().first().last_added_ts == 1.0
+    assert store.load(before=0).count() == 0
+
+
+def test_corrupt_files_are_an_error_unless_skipped(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.createDataFrame([(1,), (2,)], "a int").coalesce(1).write.parquet(path)
+    (tmp_path / "rows" / "broken.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        logs.scan_or_empty(spark, path, T.StructType([T.StructField("a", T.IntegerType())])).count()
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    assert logs.scan_or_empty(spark, path, schema, skip_corrupt=True).count() == 2
+    assert [r.file.rsplit("/", 1)[-1] for r in logs.skipped_files(spark, path, schema).collect()] == ["broken.parquet"]

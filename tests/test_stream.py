@@ -69,3 +69,30 @@ def test_two_files_and_a_restart(spark, tmp_path):
     before = {t: run.table(spark, t).count() for t in ("scored", "rule_alerts", "merged_alerts", "bans")}
     live.process_batch(run, second, 1)
     assert {t: run.table(spark, t).count() for t in before} == before
+
+
+def test_a_backlog_loses_no_alert(spark, tmp_path):
+    """Twenty flagged flows spread over hours, in one batch, with the default settings."""
+    rows = [(1000.0 + 600 * i, f"u{i}", "10.0.0.1", 1, "10.1.0.1", 7, "tcp", None, "SF", "S", 0.1, 1.0, 1.0, 1, 1) for i in range(20)]
+    given = spark.createDataFrame(rows, SCHEMA)
+    run = live.LiveRun(
+        folder=str(tmp_path / "live"), flow_schema=given.schema, profile=LAB, threshold=0.8, clock=None,
+        score=lambda batch: batch.withColumns({"p_raw": F.lit(0.9), "p_cal": F.lit(0.9)}),
+    )
+    live.process_batch(run, given, 0)
+    assert run.table(spark, "merged_alerts").where("source = 'ml'").count() == 20
+
+
+def test_stream_cooldown_keeps_unidentified_alerts_and_later_repeats(spark, tmp_path):
+    schema = "ts double, type string, attacker_ip string, target_ip string"
+    first = [(0.0, "x", "a", None), (10.0, "x", "a", None), (20.0, None, None, None), (21.0, None, None, None)]
+    later = [(100600.0, "x", "a", None), (100601.0, None, None, None)]
+    landing = str(tmp_path / "landing")
+    stream = lambda: live.first_within_watermark(live.with_watermark(spark.readStream.schema(schema).parquet(landing), "60 seconds"))
+    for rows in (first, [(100000.0, "y", "b", None)], [(100500.0, "z", "c", None)], later):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        live.write_updates(stream(), str(tmp_path / "out")).awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out" / "rows"))
+    assert found.where("type is null").count() == 3
+    repeats = sorted(r.ts for r in found.where("type = 'x'").collect())
+    assert len(repeats) == 2 and repeats[0] <= 10.0 and repeats[1] == 100600.0
