@@ -14,12 +14,15 @@ stream, which is cut at the capacity and, at its end, into powers of two.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import zlib
+from collections import ChainMap
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -28,7 +31,9 @@ from flowvigil.llm.shared import id_and_bytes
 CAPACITY = 4096
 SMALLEST = 64
 #: Chunks of text whose ids a worker remembers before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+#: Signs and letters below U+017F whose lower case and normal form are plain; no white space, no controls.
+PLAIN = regex.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u0148\u014a-\u017e]+")
 #: Pieces in one output batch.
 BATCH = 20_000
 
@@ -38,8 +43,10 @@ Encode = Callable[[bytes], bytes]
 class ChunkEncoder:
     """Ids of a whole text from the ids of its chunks between ASCII white space.
 
-    For tokenizers that drop white space and never merge or match across it; then chunks are
-    encoded alike alone and in their text, special strings included.
+    For BPE tokenizers that drop white space and never merge or match across it; then chunks are
+    encoded alike alone and in their text, special strings included. Chunks of plain Latin letters are cut
+    further by the tokenizer's own pattern. Parts not seen before are encoded many at once, with a space
+    between; as the last token of a part is one that ends a word, the ids can be told apart.
     """
 
     def __init__(self, tokenizer_file: str, end_id: int):
@@ -49,27 +56,69 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
-        if self.tokenizer.encode(" a  b\n", add_special_tokens=False).ids != [
-            i for x in "ab" for i in self.tokenizer.encode(x, add_special_tokens=False).ids
-        ]:
+        if self._ids(" a  b\n") != self._ids("a") + self._ids("b"):
             raise ValueError("this tokenizer keeps white space; its texts can't be encoded in chunks")
-        self.known: dict[bytes, bytes] = {}
+        described = json.loads(self.tokenizer.to_str())
+        self.pattern = regex.compile(described["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        suffix = described["model"]["end_of_word_suffix"]
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.chunks: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.end = np.array([end_id], dtype="<u4").tobytes()
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _new_parts(self, parts: list[str]) -> None:
+        if len(self.parts) + len(parts) > REMEMBERED:
+            self.parts.clear()
+        ids = np.array(self._ids(" ".join(parts)), dtype="<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(parts) or stops[-1] != len(ids):
+            for part in parts:
+                self.parts[part] = np.array(self._ids(part), dtype="<u4").tobytes()
+            return
+        whole = ids.tobytes()
+        for part, a, b in zip(parts, [0, *stops[:-1].tolist()], stops.tolist()):
+            self.parts[part] = whole[4 * a : 4 * b]
+
+    def _new_chunks(self, chunks: set[bytes]) -> dict[bytes, bytes]:
+        cut: dict[bytes, list[str]] = {}
+        out: dict[bytes, bytes] = {}
+        for chunk in chunks:
+            text = chunk.decode("utf-8", "replace")
+            if text.isalpha() and (text.isascii() or PLAIN.fullmatch(text)):
+                cut[chunk] = [text.lower()]
+            elif PLAIN.fullmatch(text) and "<|" not in text:
+                cut[chunk] = self.pattern.findall(text.lower())
+            else:
+                out[chunk] = np.array(self._ids(text), dtype="<u4").tobytes()
+        wanted = {part for parts in cut.values() for part in parts}
+        known = self.parts
+        missing = [part for part in wanted if part not in known]
+        if missing:
+            if len(known) + len(missing) > REMEMBERED:
+                missing = list(wanted)
+            self._new_parts(missing)
+        for chunk, parts in cut.items():
+            out[chunk] = b"".join([known[part] for part in parts])
+        return out
+
     def __call__(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids of the text, then the end id."""
-        chunks, known, fresh = text.split(), self.known, {}
-        missing = [x for x in set(chunks) if x not in known]
+        chunks, known, fresh = text.split(), self.chunks, {}
+        missing = set(chunks).difference(known)
         if missing:
-            encoded = self.tokenizer.encode_batch_fast(
-                [x.decode("utf-8", "replace") for x in missing], add_special_tokens=False
-            )
-            fresh = {x: np.array(found.ids, dtype="<u4").tobytes() for x, found in zip(missing, encoded)}
+            fresh = self._new_chunks(missing)
             if len(known) + len(fresh) > REMEMBERED:
                 fresh.update((x, known[x]) for x in set(chunks) if x in known)
                 known.clear()
             known.update((x, ids) for x, ids in fresh.items() if len(x) < 200)
-        return b"".join([*(known[x] if x in known else fresh[x] for x in chunks), self.end])
+            if any(x not in known for x in fresh):
+                known = ChainMap(known, fresh)
+        return b"".join([*map(known.__getitem__, chunks), self.end])
 
 
 @functools.cache
