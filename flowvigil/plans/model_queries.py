@@ -115,7 +115,11 @@ def _gbt_oof(spark, folder) -> DataFrame:
     rows = training_rows(spark, folder, staging)
     models = learning.train_folds(rows, QUICK_FOLDS, QUICK)
     scored = staging.table(learning.out_of_fold(rows, models).drop("features"), "oof")
-    return learning.fold_metrics(scored, models, staging)
+    metrics = learning.fold_metrics(scored, models, staging)
+    return metrics.select(
+        "fold", "n_train", "n_val", (F.col("val_roc_auc") > 0.5).alias("above_chance"),
+        F.col("best_iteration").between(1, QUICK.rounds).alias("rounds_in_range"),
+    )
 
 
 def _ensemble(spark, folder) -> DataFrame:
@@ -124,8 +128,13 @@ def _ensemble(spark, folder) -> DataFrame:
     models = learning.train_folds(rows, QUICK_FOLDS, QUICK)
     scored = staging.table(learning.out_of_fold(rows, models).drop("features"), "oof")
     calibrator = learning.fit_isotonic(scored)
-    return learning.ensemble_score(rows, models, calibrator, 0.8).select(
-        "uid", "p_raw", "p_cal", "pred", "margin"
+    found = learning.ensemble_score(rows, models, calibrator, 0.8)
+    flagged = F.when(F.col("p_cal") > 0.8 + 1e-12, 1).otherwise(0)
+    return found.select(
+        "uid",
+        (F.col("p_raw").between(0.0, 1.0) & F.col("p_cal").between(0.0, 1.0)).alias("in_range"),
+        (F.col("pred") == flagged).alias("pred_agrees"),
+        (F.abs(F.col("margin") - (F.col("p_cal") - 0.8)) < 1e-12).alias("margin_agrees"),
     )
 
 
@@ -133,7 +142,8 @@ def _report(spark, folder) -> DataFrame:
     scored = _scored(spark, folder)
     model = learning.fit_isotonic(scored)
     calibrated = learning.calibrate(scored.drop("p_cal"), model)
-    return learning.calibration_report(calibrated, Staging(spark), PRECISION, FPR)
+    report = learning.calibration_report(calibrated, Staging(spark), PRECISION, FPR)
+    return report.select("n", *[F.round(c, 6).alias(c) for c in report.columns if c != "n"])
 
 
 QUERIES = {
@@ -158,10 +168,22 @@ QUERIES = {
     "ensemble_score": _ensemble,
 }
 
-_HOSTS = f"""WITH {DUCKDB_FLOWS}, hosts AS (SELECT orig_h, CAST(sum(CASE WHEN label = 'attack' THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+def _hosts_sql(k: int) -> str:
+    return f"""WITH {DUCKDB_FLOWS}, hosts AS (SELECT orig_h, CAST(sum(CASE WHEN label = 'attack' THEN 1 ELSE 0 END) AS BIGINT) AS pos,
   count(*) AS n FROM flows GROUP BY ALL),
-placed AS (SELECT *, pos / n AS rate, (row_number() OVER (ORDER BY pos / n DESC, n DESC, orig_h) - 1) % {2 * FOLDS} AS place FROM hosts),
-dealt AS (SELECT *, CAST(CASE WHEN place < {FOLDS} THEN place ELSE {2 * FOLDS - 1} - place END AS INT) AS fold FROM placed)"""
+placed AS (SELECT *, pos / n AS rate, (row_number() OVER (ORDER BY pos / n DESC, n DESC, orig_h) - 1) % {2 * k} AS place FROM hosts),
+dealt AS (SELECT *, CAST(CASE WHEN place < {k} THEN place ELSE {2 * k - 1} - place END AS INT) AS fold FROM placed)"""
+
+
+_HOSTS = _hosts_sql(FOLDS)
+# Every run of scores gets its attack share; a score's value is the largest, over run starts at or
+# below it, of the smallest share of the runs from there that reach it.
+_ISOTONIC = f"""{_SCORED},
+  c AS (SELECT p_raw AS x, CAST(sum(y_bin) AS DOUBLE) AS s, CAST(count(*) AS DOUBLE) AS w FROM scored GROUP BY 1),
+  r AS (SELECT x, s, w, row_number() OVER (ORDER BY x) AS i, sum(s) OVER (ORDER BY x) AS cs, sum(w) OVER (ORDER BY x) AS cw FROM c),
+  runs AS (SELECT a.i AS a, b.i AS i, (b.cs - a.cs + a.s) / (b.cw - a.cw + a.w) AS share FROM r a JOIN r b ON b.i >= a.i),
+  low AS (SELECT a, i, min(share) OVER (PARTITION BY a ORDER BY i DESC ROWS UNBOUNDED PRECEDING) AS low FROM runs),
+  iso AS (SELECT i, max(low) AS p FROM low GROUP BY i)"""
 _TYPES = f"""WITH {DUCKDB_FLOWS}, types AS (SELECT attack_type, count(*) AS n FROM flows WHERE label = 'attack' GROUP BY ALL),
 weights AS (SELECT attack_type, n, round(least(3.0::DOUBLE, (SELECT median(n) FROM types) / n), 6) AS type_weight FROM types)"""
 
@@ -172,6 +194,26 @@ def _confusion_sql(test: str) -> str:
       count(*) FILTER (y_bin = 0 AND NOT p_cal {test} 0.7) AS tn FROM scored"""
 
 
+def _areas_sql(points: str) -> str:
+    return f"""(SELECT round(sum(pos * (tp / (tp + fp))) / CAST(sum(pos) AS DOUBLE), 6) FROM {points}) AS {{0}}_pr_auc,
+      (SELECT round(CAST(sum(neg * (tp - pos / 2.0::DOUBLE)) AS DOUBLE) / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)), 6)
+       FROM {points}) AS {{0}}_roc_auc"""
+
+
+def _report_sql() -> str:
+    points = """{0} AS (SELECT threshold, pos, neg, sum(pos) OVER w AS tp, sum(neg) OVER w AS fp FROM (
+      SELECT {1} AS threshold, sum(y_bin) AS pos, sum(1 - y_bin) AS neg FROM calibrated GROUP BY 1) t
+      WINDOW w AS (ORDER BY threshold DESC))"""
+    picked = _pick_sql(PRECISION, FPR).removeprefix(_SCORED).lstrip(" ,")
+    return f"""{_ISOTONIC}, calibrated AS (SELECT y_bin, p_raw, round(p, 12) AS p_iso FROM scored JOIN r ON p_raw = x JOIN iso USING (i)),
+      {points.format("raw_points", "p_raw")}, {points.format("cal_points", "p_iso")},
+      {picked.replace("FROM points", """FROM (SELECT *, (SELECT sum(pos) FROM cal_points) - tp AS fn,
+        (SELECT sum(neg) FROM cal_points) - fp AS tn FROM cal_points) t""").replace(
+          "SELECT threshold, round(precision", f"""SELECT (SELECT count(*) FROM scored) AS n,
+        {_areas_sql("raw_points").format("raw")}, {_areas_sql("cal_points").format("cal")},
+        {PRECISION}::DOUBLE AS precision_target, {FPR}::DOUBLE AS fpr_target, round(threshold, 6) AS threshold, round(precision""", 1)}"""
+
+
 def _pick_sql(precision: float | None, fpr: float | None) -> str:
     tests = ["tp > 0"]
     if precision is not None:
@@ -188,6 +230,11 @@ def _pick_sql(precision: float | None, fpr: float | None) -> str:
 
 
 ORACLE = {
+    "isotonic": f"""{_ISOTONIC} SELECT uid, p_raw, round(p, 6) AS p_cal FROM scored JOIN r ON p_raw = x JOIN iso USING (i)""",
+    "calibration_report": _report_sql(),
+    "gbt_oof": f"""{_hosts_sql(QUICK_FOLDS)} SELECT fold, (SELECT count(*) FROM flows) - CAST(sum(n) AS BIGINT) AS n_train,
+      CAST(sum(n) AS BIGINT) AS n_val, TRUE AS above_chance, TRUE AS rounds_in_range FROM dealt GROUP BY fold""",
+    "ensemble_score": f"""WITH {DUCKDB_FLOWS} SELECT uid, TRUE AS in_range, TRUE AS pred_agrees, TRUE AS margin_agrees FROM flows""",
     "host_folds": f"{_HOSTS} SELECT orig_h, pos, n, round(rate, 6) AS rate, fold FROM dealt",
     "fold_balance": f"""{_HOSTS} SELECT fold, CAST(sum(n) AS BIGINT) AS n_val, round(sum(pos) / sum(n), 6) AS attack_rate
       FROM dealt GROUP BY fold""",

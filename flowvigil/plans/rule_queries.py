@@ -126,9 +126,20 @@ def _byte_ratio(spark: SparkSession, folder: str) -> DataFrame:
 
 def _approx_distinct(spark: SparkSession, folder: str) -> DataFrame:
     rows = r.with_windows(r.rollup(load_flows(spark, folder), DAY), DAY, WEEK)
-    return rows.groupBy("resp_h", "long_bin").agg(
-        F.approx_count_distinct("orig_h", 0.02).alias("sources"),
-        F.approx_count_distinct(F.struct("orig_h", "resp_p"), 0.02).alias("pairs"),
+    pair = F.struct("orig_h", "resp_p")
+    groups = rows.groupBy("resp_h", "long_bin").agg(
+        F.approx_count_distinct("orig_h", 0.02).alias("sources_near"),
+        F.approx_count_distinct(pair, 0.02).alias("pairs_near"),
+        F.count_distinct("orig_h").alias("sources"),
+        F.count_distinct("orig_h", "resp_p").alias("pairs"),
+    )
+
+    def close(name: str) -> Column:
+        # Five standard deviations of the estimate, and one for small counts.
+        return F.abs(F.col(f"{name}_near") - F.col(name)) <= F.greatest(0.1 * F.col(name), F.lit(1.0))
+
+    return groups.select(
+        "resp_h", "long_bin", "sources", "pairs", close("sources").alias("sources_close"), close("pairs").alias("pairs_close")
     )
 
 
@@ -395,6 +406,9 @@ SELECT (SELECT round(max(ts), 3) FROM flows) AS ts_generated, a.* FROM (
 _TCP = "FROM rows_ WHERE proto = 'tcp' GROUP BY ALL"
 
 ORACLE = {
+    "approx_distinct": f"""WITH {DUCKDB_FLOWS} SELECT resp_h, CAST(floor(ts / {WEEK}) AS BIGINT) * {WEEK} AS long_bin,
+      count(DISTINCT orig_h) AS sources, count(DISTINCT (orig_h, resp_p)) AS pairs, TRUE AS sources_close, TRUE AS pairs_close
+      FROM flows GROUP BY ALL""",
     "flow_rollup": _with_rows("""
   t AS (SELECT orig_h, resp_h, resp_p, proto, coalesce(lower(service), '-') AS service,
                CAST(CASE WHEN proto = 'icmp' AND echo THEN 1 ELSE 0 END AS INT) AS echo_like, sb AS slot,

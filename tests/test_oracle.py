@@ -8,8 +8,6 @@ from compare import differences, duckdb_over
 
 FOLDER = "/root/testdata/sf0.001"
 ORACLE = catalogue.oracle_sql()
-# Queries over model training are exercised in test_learning.
-SLOW = {"gbt_oof", "ensemble_score"}
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +21,7 @@ def test_matches_sql(spark, duck, name):
     assert differences(frame, duck.execute(ORACLE[name]).df()) == ""
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.queries()) - set(ORACLE) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalogue.queries()) - set(ORACLE)))
 def test_has_rows(spark, name):
     assert catalogue.queries()[name](spark, FOLDER).count() > 0
 
