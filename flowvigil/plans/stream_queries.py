@@ -127,6 +127,38 @@ def live_run(spark: SparkSession, folder: str) -> live.LiveRun:
     return run
 
 
+BACKLOG_FILES = 6
+
+
+def backlog_run(spark: SparkSession, folder: str) -> live.LiveRun:
+    """Default settings over events that land as several files, in time order, one file a batch."""
+    staging = Staging(spark)
+    landing = staging.path("landing")
+    events = spark.read.parquet(f"{folder}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    micros = F.unix_micros("ts")
+    first, last = (events.agg(f(micros)).scalar() for f in (F.min, F.max))
+    parts = events.withColumn("part", F.floor((micros - first) * BACKLOG_FILES / (last - first + 1)))
+    for part in range(BACKLOG_FILES):
+        parts.where(F.col("part") == part).drop("part").coalesce(1).write.parquet(f"{landing}/{part}")
+    stream = (
+        spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True)
+        .parquet(landing)
+    )
+    flows = flows_of(stream)
+    run = live.LiveRun(
+        folder=staging.path("live"), flow_schema=flows.schema, profile=FIXTURE,
+        score=lambda batch: batch.withColumn("p_cal", F.col("p_raw")), threshold=THRESHOLD, clock=None,
+    )
+    live.start_live(run, flows).awaitTermination()
+    return run
+
+
+def _stream_backlog(spark: SparkSession, folder: str) -> DataFrame:
+    """Every flagged flow is merged, once, whichever of the batches it came in."""
+    merged = backlog_run(spark, folder).table(spark, "merged_alerts")
+    return merged.where("source = 'ml'").select("uid", F.round("margin", 6).alias("margin"))
+
+
 def _stream_rules(spark: SparkSession, folder: str) -> DataFrame:
     found = live_run(spark, folder).table(spark, "rule_alerts")
     # The fast rule has its own query; its alerts are the only scans with a target.
@@ -165,6 +197,7 @@ QUERIES = {
     "stream_merged": _stream_merged,
     "stream_bans": _stream_bans,
     "stream_cooldown": _stream_cooldown,
+    "stream_backlog": _stream_backlog,
 }
 
 
@@ -202,6 +235,8 @@ ORACLE = {
     "stream_bans": f"""{_RULES} SELECT attacker_ip AS ip, count(*) AS n_rows, 'ml_blacklist' AS set_name FROM alerts
       WHERE severity IN ('med', 'high') AND attacker_ip <> '' GROUP BY ALL HAVING count(*) >= 2
       ORDER BY n_rows DESC, ip LIMIT 100""",
+    "stream_backlog": f"""WITH {DUCKDB_FLOWS} SELECT uid, round(p_raw - {THRESHOLD}, 6) AS margin FROM flows
+      WHERE p_raw > {THRESHOLD} + 1e-12""",
     "stream_cooldown": f"""WITH {DUCKDB_FLOWS}, alerts AS ({_ALERTS.format(flows='flows')})
       SELECT DISTINCT type, coalesce(attacker_ip, '') AS attacker_ip, coalesce(target_ip, '') AS target_ip FROM alerts""",
 }
