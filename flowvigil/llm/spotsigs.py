@@ -16,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
 from flowvigil.llm.shared import map_batches, shuffle_width
+from flowvigil.staging import Staging
 
 #: Common words of English, French, German and Spanish.
 ANCHORS = frozenset(
@@ -106,6 +107,57 @@ def fingerprints(df: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return map_batches(rows, run, "doc_id bigint, n_signatures bigint, signatures array<bigint>", arrow)
 
 
+def similar_sets(df: DataFrame, staging: Staging, least: float = 0.8, **columns) -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): every document's class, and all pairs of classes of Jaccard ``least`` or more.
+
+    members: doc_id and class_id, the smallest doc_id with the same signature set; copies are one class.
+    pairs: class_id, other_id (larger), likeness. Texts as in ``fingerprints``; null ids take no part.
+
+    Sets are partitioned by length: a length class spans a factor of 1 / least, so alike sets lie in one
+    class or in neighbours. Within it only sets that share one of their rarest signatures meet, few enough that
+    without any of them the likeness can't be reached; pairs whose lengths rule it out are pruned before
+    the sets are compared.
+    """
+    docs = staging.table(fingerprints(df, **columns).where(F.col("doc_id").isNotNull()), "signatures")
+    sets = docs.groupBy("signatures").agg(F.min("doc_id").alias("class_id"), F.first("n_signatures").alias("n"))
+    sets = staging.table(sets, "signature-sets")
+    members = docs.join(sets, "signatures").select("doc_id", "class_id")
+    spread = sets.select("class_id", "n", F.explode("signatures").alias("signature"))
+    counts = spread.groupBy("signature").agg(F.count("*").alias("held_by"))
+    # A window holds one set.
+    rarest = Window.partitionBy("class_id").orderBy("held_by", "signature")
+    prefix = (
+        spread.join(counts, "signature")
+        .where(F.col("held_by") > 1)
+        .withColumn("place", F.row_number().over(rarest))
+    )
+    # The signatures that no other set holds stand before all others.
+    alone = F.col("n") - F.count("*").over(Window.partitionBy("class_id"))
+    prefix = prefix.withColumn("place", F.col("place") + alone).where(
+        F.col("place") <= F.col("n") - F.ceil(F.col("n") * least - 1e-9) + 1
+    )
+    length_class = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(least)) + 1e-9)
+    placed = prefix.select("class_id", "n", "signature", length_class.alias("length"))
+    shorter = placed.select(
+        F.col("class_id").alias("other"), F.col("n").alias("m"), "signature",
+        F.explode(F.array("length", F.col("length") + 1)).alias("length"),
+    )
+    fits = (F.col("m") >= F.col("n") * least - 1e-9) & (
+        (F.col("m") < F.col("n")) | ((F.col("m") == F.col("n")) & (F.col("other") < F.col("class_id")))
+    )
+    met = placed.join(shorter, ["signature", "length"]).where(fits).select("class_id", "other").distinct()
+    one = sets.select("class_id", F.col("signatures").alias("a"))
+    two = sets.select(F.col("class_id").alias("other"), F.col("signatures").alias("b"))
+    shared = F.size(F.array_intersect("a", "b"))
+    alike = met.join(one, "class_id").join(two, "other").withColumn(
+        "likeness", shared / (F.size("a") + F.size("b") - shared)
+    )
+    pairs = alike.where(F.col("likeness") >= least).select(
+        F.least("class_id", "other").alias("class_id"), F.greatest("class_id", "other").alias("other_id"), "likeness"
+    )
+    return members, pairs
+
+
 def with_next(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Compare every text with its edited text and with the next document's text.
 

@@ -3,6 +3,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cases import no_documents, odd_documents
 from flowvigil.llm import spotsigs
@@ -63,3 +64,23 @@ def test_fingerprints_hold_the_sets(spark):
     got = spotsigs.fingerprints(docs).where("doc_id = 3").first()
     text = docs.where("doc_id = 3").first().text
     assert got.signatures == spotsigs.signature_set(text).tolist() and got.n_signatures == len(got.signatures)
+
+
+@pytest.mark.parametrize("least", [0.8, 0.5])
+def test_similar_sets_match_all_pairs(spark, staging, least):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(odd_documents(spark).select(
+        "doc_id", "text", "lang", "source", "n_chars").withColumn("doc_id", F.col("doc_id") + 1000))
+    members, pairs = spotsigs.similar_sets(docs, staging, least)
+    sets, classes = {}, {}
+    for r in docs.orderBy("doc_id").collect():
+        if r.doc_id is not None:
+            key = tuple(spotsigs.signature_set(r.text or "").tolist())
+            classes[r.doc_id] = sets.setdefault(key, r.doc_id)
+    assert {r.doc_id: r.class_id for r in members.collect()} == classes
+    named = [(c, set(k)) for k, c in sets.items()]
+    want = {
+        (min(a, b), max(a, b)): len(x & y) / len(x | y)
+        for i, (a, x) in enumerate(named) for b, y in named[:i] if len(x & y) >= least * len(x | y)
+    }
+    assert {(r.class_id, r.other_id): r.likeness for r in pairs.collect()} == want and want
+    assert all(df.count() == 0 for df in spotsigs.similar_sets(no_documents(spark), staging))
