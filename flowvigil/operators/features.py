@@ -223,7 +223,8 @@ class FeatureModel:
         return {c: values for c, values in self.levels.items() if c in rows.columns}
 
     def to_json(self) -> str:
-        return json.dumps(asdict(self), ensure_ascii=False, sort_keys=True)
+        # The order of the categories is the order of the columns, so keys are not sorted.
+        return json.dumps(asdict(self), ensure_ascii=False)
 
     @staticmethod
     def from_json(text: str) -> FeatureModel:

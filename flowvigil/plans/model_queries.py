@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from flowvigil import config
 from flowvigil.operators import evaluation as e, features, folds, learning, prepare
+from flowvigil.operators.deployment import Deployment
 from flowvigil.operators.features import FeatureModel
 from flowvigil.plans.sample_flows import DUCKDB_FLOWS, load_flows
 from flowvigil.staging import Staging
@@ -138,6 +140,27 @@ def _ensemble(spark, folder) -> DataFrame:
     )
 
 
+def _stored_score(spark, folder) -> DataFrame:
+    """Scores of a deployment that was stored and loaded, beside those of the one in memory."""
+    staging = Staging(spark)
+    flows = load_flows(spark, folder)
+    prepared = prepare.with_direction(prepare.with_service_norm(flows))
+    model = FeatureModel.fit(prepared, staging)
+    rows = training_rows(spark, folder, staging)
+    models = learning.train_folds(rows, QUICK_FOLDS, QUICK)
+    scored = staging.table(learning.out_of_fold(rows, models).drop("features"), "oof")
+    made = Deployment(model, models, learning.fit_isotonic(scored), config.Thresholds(0.7, 0.9, 0.01))
+    made.save(spark, path := staging.path("deployment"))
+    stored = Deployment.load(spark, path)
+    pairs = made.score(flows).select("uid", F.col("p_cal").alias("a")).join(
+        stored.score(flows).select("uid", F.col("p_cal").alias("b")), "uid"
+    )
+    return pairs.select(
+        "uid", (F.col("a") == F.col("b")).alias("same"), F.lit(stored.thresholds.threshold).alias("threshold"),
+        F.lit(stored.thresholds.fpr_target).alias("fpr_target"),
+    )
+
+
 def _report(spark, folder) -> DataFrame:
     scored = _scored(spark, folder)
     model = learning.fit_isotonic(scored)
@@ -166,6 +189,7 @@ QUERIES = {
     "calibration_report": _report,
     "gbt_oof": _gbt_oof,
     "ensemble_score": _ensemble,
+    "stored_score": _stored_score,
 }
 
 def _hosts_sql(k: int) -> str:
@@ -234,6 +258,7 @@ ORACLE = {
     "calibration_report": _report_sql(),
     "gbt_oof": f"""{_hosts_sql(QUICK_FOLDS)} SELECT fold, (SELECT count(*) FROM flows) - CAST(sum(n) AS BIGINT) AS n_train,
       CAST(sum(n) AS BIGINT) AS n_val, TRUE AS above_chance, TRUE AS rounds_in_range FROM dealt GROUP BY fold""",
+    "stored_score": f"""WITH {DUCKDB_FLOWS} SELECT uid, TRUE AS same, 0.7::DOUBLE AS threshold, 0.01::DOUBLE AS fpr_target FROM flows""",
     "ensemble_score": f"""WITH {DUCKDB_FLOWS} SELECT uid, TRUE AS in_range, TRUE AS pred_agrees, TRUE AS margin_agrees FROM flows""",
     "host_folds": f"{_HOSTS} SELECT orig_h, pos, n, round(rate, 6) AS rate, fold FROM dealt",
     "fold_balance": f"""{_HOSTS} SELECT fold, CAST(sum(n) AS BIGINT) AS n_val, round(sum(pos) / sum(n), 6) AS attack_rate

@@ -14,6 +14,7 @@ from flowvigil.config import (
     profile_from_json,
 )
 from flowvigil.sources.flow_logs import path_exists
+from flowvigil.sources.sinks import read_text, write_text
 
 
 def _whole_text(spark: SparkSession, path: str) -> str | None:
@@ -55,6 +56,18 @@ def thresholds_yaml(values: Thresholds) -> str:
     )
 
 
+def save_thresholds(spark: SparkSession, values: Thresholds, path: str) -> None:
+    """Threshold and targets as one YAML file in the folder ``path``."""
+    write_text(spark, thresholds_yaml(values), path)
+
+
+def load_thresholds(spark: SparkSession, path: str) -> Thresholds:
+    """Threshold and the targets it was chosen for; what the file lacks keeps its default."""
+    values = (_yaml(read_text(spark, path)) or {}).get("binary", {})
+    known = ("threshold", "precision_target", "fpr_target")
+    return Thresholds(**{key: float(values[key]) for key in known if key in values})
+
+
 def _yaml(text: str) -> dict:
     try:
         import yaml

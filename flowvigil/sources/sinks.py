@@ -112,6 +112,15 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """One small text as one file in the folder ``path``."""
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first().value
+
+
 def save_models(models: Sequence[GBTClassificationModel], folder: str) -> None:
     for fold, model in enumerate(models):
         model.write().overwrite().save(f"{folder}/fold={fold:03d}")

@@ -169,3 +169,9 @@ def test_corrupt_files_are_an_error_unless_skipped(spark, tmp_path):
     schema = T.StructType([T.StructField("a", T.IntegerType())])
     assert logs.scan_or_empty(spark, path, schema, skip_corrupt=True).count() == 2
     assert [r.file.rsplit("/", 1)[-1] for r in logs.skipped_files(spark, path, schema).collect()] == ["broken.parquet"]
+
+
+def test_thresholds_round_trip_with_their_targets(spark, tmp_path):
+    given = settings.Thresholds(0.61, 0.9, 0.02)
+    settings.save_thresholds(spark, given, str(tmp_path / "thresholds"))
+    assert settings.load_thresholds(spark, str(tmp_path / "thresholds")) == given
