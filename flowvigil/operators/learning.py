@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from flowvigil.operators import evaluation
 from flowvigil.operators.alerts import with_prediction
-from flowvigil.operators.folds import fold_split
+from flowvigil.operators.folds import fold_split, type_weights, with_type_weight
 from flowvigil.staging import Staging
 
 
@@ -22,6 +22,7 @@ from flowvigil.staging import Staging
 class TrainConfig:
     """Tree ensemble settings; depth 6 gives up to 64 leaves."""
 
+    # Rounds, depth, rate, shares, leaf size and seed.
     rounds: int = 1200
     depth: int = 6
     learning_rate: float = 0.05
@@ -52,9 +53,14 @@ def with_sample_weight(rows: DataFrame, label: str = "y_bin") -> DataFrame:
 def train_fold(rows: DataFrame, fold: int, cfg: TrainConfig = TrainConfig()) -> GBTClassificationModel:
     """Model trained on all other folds, stopped early by this one.
 
-    ``rows`` carry ``features``, ``y_bin``, ``fold`` and optionally ``type_weight``.
+    ``rows`` carry ``features``, ``y_bin``, ``fold`` and optionally ``type_weight``, or ``attack_type``:
+    then type weights are counted on the training rows alone, so validation rows don't shape them.
     """
     train, held_out = fold_split(rows, fold)
+    if "attack_type" in rows.columns and "type_weight" not in rows.columns:
+        labelled = train.withColumn("label", F.when(F.col("y_bin") == 1, "attack").otherwise("normal"))
+        train = with_type_weight(labelled, type_weights(labelled)).drop("label")
+        held_out = held_out.withColumn("type_weight", F.lit(1.0))
     weighted = with_sample_weight(train).withColumn("held_out", F.lit(False))
     checks = held_out.withColumns({"weight": F.lit(1.0), "held_out": F.lit(True)})
     learner = GBTClassifier(

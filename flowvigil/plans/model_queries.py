@@ -100,16 +100,14 @@ def _isotonic(spark, folder) -> DataFrame:
 
 
 def training_rows(spark, folder, staging: Staging) -> DataFrame:
-    """Staged rows with features, target, type weight and fold."""
+    """Staged rows with features, target, attack type and fold."""
     flows = prepare.with_direction(prepare.with_service_norm(load_flows(spark, folder)))
     model = FeatureModel.fit(flows, staging)
     dealt = folds.serpentine_folds(folds.host_rates(flows), QUICK_FOLDS, staging)
     flows = folds.with_fold(flows, staging.table(dealt, "folds"))
-    weights = staging.table(folds.type_weights(flows), "type-weights")
-    flows = folds.with_type_weight(flows, weights)
-    matrix = model.matrix(flows, ("uid", "fold", "type_weight"))
+    matrix = model.matrix(flows, ("uid", "fold", "attack_type"))
     rows = learning.assemble(matrix, model.columns)
-    return staging.table(rows.select("uid", "fold", "type_weight", "y_bin", "features"), "training")
+    return staging.table(rows.select("uid", "fold", "attack_type", "y_bin", "features"), "training")
 
 
 def _gbt_oof(spark, folder) -> DataFrame:

@@ -117,3 +117,16 @@ def test_serpentine_balances(spark, staging):
 def test_profile_nulls(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, "x")], "a int, b string")
     assert [(r.column_name, r.null_rate) for r in profile.null_rates(df).collect()] == [("b", 0.6667), ("a", 0.3333)]
+
+
+def test_type_weights_come_from_the_training_rows(spark, monkeypatch):
+    from flowvigil.operators import learning
+
+    seen = []
+    monkeypatch.setattr(learning.GBTClassifier, "fit", lambda self, df: seen.append(df.collect()))
+    rows = [(0, 1, "a")] * 4 + [(0, 1, "b")] * 2 + [(1, 1, "b")] * 50 + [(0, 0, "none")] * 3 + [(1, 0, "none")]
+    frame = spark.createDataFrame(rows, "fold int, y_bin int, attack_type string")
+    learning.train_fold(frame, 1)
+    weights = {(r.attack_type, r.held_out): r.type_weight for r in seen[0]}
+    # Median of 4 and 2 is 3; the 50 rows of the other fold don't count.
+    assert weights == {("a", False): 0.75, ("b", False): 1.5, ("none", False): 1.0, ("b", True): 1.0, ("none", True): 1.0}
