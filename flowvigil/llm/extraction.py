@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh32_intdigest
 
+from flowvigil.llm.shared import remembering, small_batches
 from flowvigil.staging import Staging
 
 #: Elements of HTML by what they do to text.
@@ -147,6 +148,7 @@ _WORDS: dict[str, int] = {}
 
 
 def _word_ids(words: list[str]) -> list[int]:
+    remembering("extraction", _WORDS.clear)
     if len(_WORDS) > REMEMBERED:
         _WORDS.clear()
     known = _WORDS
@@ -431,7 +433,7 @@ def extract(
     The text has the article's blocks in page order, one to a line. A null or empty page, and one
     without article blocks, has an empty text. Ids and addresses are passed on, null too.
     """
-    rows = pages.select(
+    rows = small_batches(pages).select(
         F.col(id_column).cast("bigint").alias("page_id"),
         F.col(url_column).cast("string").alias("url"),
         F.coalesce(F.col(html_column).cast("string"), F.lit("")).alias("html"),

@@ -26,7 +26,7 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from flowvigil.llm.shared import id_and_bytes
+from flowvigil.llm.shared import id_and_bytes, remembering
 
 CAPACITY = 4096
 SMALLEST = 64
@@ -122,10 +122,16 @@ class ChunkEncoder:
 
 
 @functools.cache
-def chunk_encoder(tokenizer_file: str, end_id: int) -> ChunkEncoder:
+def _chunk_encoder(tokenizer_file: str, end_id: int) -> ChunkEncoder:
     return ChunkEncoder(tokenizer_file, end_id)
 
 
+def chunk_encoder(tokenizer_file: str, end_id: int) -> ChunkEncoder:
+    """The worker's encoder for a tokenizer."""
+    remembering("packing", _chunk_encoder.cache_clear)
+    return _chunk_encoder(tokenizer_file, end_id)
+
+
 class Packer:
     """Bins of one worker. A piece is (doc_id, document's ids, start, its own ids as bytes)."""
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from xxhash import xxh64_intdigest
 
-from flowvigil.llm.shared import map_batches
+from flowvigil.llm.shared import map_batches, remembering, small_batches
 from flowvigil.staging import Staging
 
 #: Dimensions of index and context vectors, and non-zero places of a feature's index vector.
@@ -44,7 +44,7 @@ DECAY = 1e-3
 #: Folds of the sample that set the temperature.
 FOLDS = 3
 #: Words whose vectors a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 LETTERS = re.compile(r"[^\W\d_A]+")
@@ -133,6 +133,7 @@ _VECTORS: list[WordVectors] = []
 
 
 def word_vectors() -> WordVectors:
+    remembering("quality", _VECTORS.clear)
     if not _VECTORS:
         _VECTORS.append(WordVectors())
     return _VECTORS[0]
@@ -283,7 +284,8 @@ def fit(
         yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], names=["sums"])
 
     contexts = np.zeros((BUCKETS, WIDTH), dtype=np.float32)
-    for row in sample.select("text").coalesce(FIT_TASKS).mapInArrow(sum_up, "sums binary").toLocalIterator():
+    # At most FIT_TASKS rows of one table of sums each.
+    for row in sample.select("text").coalesce(FIT_TASKS).mapInArrow(sum_up, "sums binary").collect():
         contexts += np.frombuffer(row.sums, dtype=np.float32).reshape(BUCKETS, WIDTH)
     contexts /= np.linalg.norm(contexts, axis=1, keepdims=True) + 1e-6
 
@@ -334,4 +336,4 @@ def keep_good(
     def scored(texts: pd.Series) -> pd.Series:
         return pd.Series(model.scores([x or "" for x in texts]))
 
-    return docs.where(scored(F.col(text_column).cast("string")) >= bound)
+    return small_batches(docs).where(scored(F.col(text_column).cast("string")) >= bound)

@@ -18,9 +18,19 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of an Arrow batch; texts may be long, and Spark's default of 10,000 fills a worker's memory.
+BATCH_ROWS = 500
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session set to hand texts to Python in batches of a few MB."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    return df
+
+
 def id_and_bytes(df: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Columns ``doc_id`` and ``text``, the text as UTF-8 bytes and empty where it is null."""
-    return df.select(
+    return small_batches(df).select(
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).cast("binary").alias("text"),
     )
@@ -39,7 +49,23 @@ def map_batches(
                     [pa.array(columns[field.name], field.type, from_pandas=True) for field in arrow], schema=arrow
                 )
 
-    return df.mapInArrow(run, schema)
+    return small_batches(df).mapInArrow(run, schema)
+
+
+_REMEMBERING: dict[str, Callable[[], object]] = {}
+
+
+def remembering(owner: str, forget: Callable[[], object]) -> None:
+    """Tell that this Python worker now remembers words for ``owner``, and how to drop them.
+
+    Workers outlive tasks. What another operator has left in one is dropped, so a pipeline of
+    several operators needs no more memory than the largest of them.
+    """
+    if owner not in _REMEMBERING:
+        for drop in _REMEMBERING.values():
+            drop()
+        _REMEMBERING.clear()
+        _REMEMBERING[owner] = forget
 
 
 def connected_components(edges: DataFrame, staging: Staging) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
-from flowvigil.llm.shared import map_batches, shuffle_width
+from flowvigil.llm.shared import map_batches, remembering, shuffle_width, small_batches
 from flowvigil.staging import Staging
 
 #: Common words of English, French, German and Spanish.
@@ -44,6 +44,7 @@ _HASHES: dict[str, int] = {}
 
 
 def _word_hashes(words: list[str]) -> np.ndarray:
+    remembering("spotsigs", _HASHES.clear)
     known = _HASHES
     missing = {w for w in words if w not in known}
     if missing:
@@ -170,7 +171,7 @@ def with_next(df: DataFrame, id_column: str = "doc_id", text_column: str = "text
     first document of a range is also sent to the range before it, so every range has all
     it needs and no row is held longer than until the next one is read.
     """
-    rows = df.select(
+    rows = small_batches(df).select(
         F.col(id_column).cast("bigint").alias("doc_id"),
         F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"),
     )

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from flowvigil.llm.shared import map_batches
+from flowvigil.llm.shared import map_batches, remembering
 
 SPACE = "▁"
 #: Segments, their parts and pairs of tokens that a worker remembers before it starts afresh.
@@ -139,10 +139,16 @@ class PrefixCounter:
 
 
 @functools.cache
-def counter(model_file: str) -> PrefixCounter:
+def _counter(model_file: str) -> PrefixCounter:
     return PrefixCounter(model_file)
 
 
+def counter(model_file: str) -> PrefixCounter:
+    """The worker's counter for a model."""
+    remembering("tokens", _counter.cache_clear)
+    return _counter(model_file)
+
+
 def counts_at(deltas: bytes) -> np.ndarray:
     """Token count of every non-empty prefix, shortest first."""
     return np.cumsum(np.frombuffer(deltas, dtype=np.int8), dtype=np.int64)
