@@ -67,7 +67,7 @@ def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs))
+    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs, Staging(spark)))
 
 
 QUERIES = {
