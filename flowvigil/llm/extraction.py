@@ -29,10 +29,22 @@ from flowvigil.llm.shared import remembering, small_batches
 from flowvigil.staging import Staging
 
 #: Elements of HTML by what they do to text.
-RAW = "script style noscript template svg math iframe object canvas audio video head".split()
+RAW = "script style iframe".split()
+#: Elements whose text is not shown, read like all others: what they hold ends where the page says so.
+SILENT = frozenset("head noscript template svg object canvas audio video annotation annotation-xml".split())
+#: What <head> holds; any other element, or text, closes it.
+IN_HEAD = frozenset("base link meta title noscript template".split())
+#: Elements that can't be in <svg> and close it, but for those in which other HTML may stand.
+NOT_IN_SVG = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+HTML_IN_SVG = frozenset("foreignobject desc title".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
-    "strong sub sup time tt u var wbr br".split()
+    "strong sub sup time tt u var wbr br "
+    "math mfrac mi mn mo mover mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder "
+    "munderover mmultiscripts menclose semantics".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSED_BY_BLOCKS = "p"
@@ -47,7 +59,7 @@ CLOSED_BY_ITSELF = {
 }
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -79,7 +91,13 @@ def leaves(page: str) -> list[Leaf]:
     out: list[Leaf] = []
     stack: list[tuple[str, tuple[str, ...], bool | None]] = []
     pieces: list[str] = []
-    state = {"links": 0, "linked": 0}
+    state = {"links": 0, "linked": 0, "silent": False}
+
+    def cut(i: int) -> None:
+        """Close all elements from the i-th on."""
+        del stack[i:]
+        state["links"] = 0
+        state["silent"] = any(x[0] in SILENT for x in stack)
 
     def flush() -> None:
         if pieces:
@@ -91,8 +109,24 @@ def leaves(page: str) -> list[Leaf]:
             pieces.clear()
         state["linked"] = 0
 
+    def close_before(tag: str) -> None:
+        """Close <head> and <svg> where an element that can't be in them, or text in <head>, begins."""
+        if not state["silent"]:
+            return
+        if stack[-1][0] == "head" and tag not in IN_HEAD:
+            cut(len(stack) - 1)
+        names = [x[0] for x in stack]
+        if tag == "body" and "head" in names:
+            cut(names.index("head"))
+        elif tag in NOT_IN_SVG and "svg" in names:
+            i = len(names) - 1 - names[::-1].index("svg")
+            if HTML_IN_SVG.isdisjoint(names[i:]):
+                cut(i)
+
     def take(text: str) -> None:
-        if text:
+        if state["silent"] and text.strip():
+            close_before("")
+        if text and not state["silent"]:
             pieces.append(text)
             if state["links"]:
                 state["linked"] += len(text)
@@ -107,7 +141,11 @@ def leaves(page: str) -> list[Leaf]:
                 flush()
             continue
         tag = tag.lower()
+        if not found["end"]:
+            close_before(tag)
         if tag in INLINE:
+            if state["silent"]:
+                continue
             if tag == "br":
                 pieces.append(" ")
             elif tag == "a":
@@ -117,17 +155,15 @@ def leaves(page: str) -> list[Leaf]:
         if found["end"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    del stack[i:]
-                    state["links"] = 0
+                    cut(i)
                     break
             continue
         closing, bounds = (tag, CLOSED_BY_ITSELF[tag]) if tag in CLOSED_BY_ITSELF else (CLOSED_BY_BLOCKS, ())
         for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in bounds:
+            if stack[i][0] in bounds or stack[i][0] in SILENT:
                 break
             if stack[i][0] == closing:
-                del stack[i:]
-                state["links"] = 0
+                cut(i)
                 break
         if tag in VOID or found["attributes"].endswith("/"):
             continue
@@ -139,6 +175,7 @@ def leaves(page: str) -> list[Leaf]:
             else:
                 names += PART.findall(value)
         stack.append((tag, tuple(names), gold))
+        state["silent"] = state["silent"] or tag in SILENT
     take(page[at:])
     flush()
     return out

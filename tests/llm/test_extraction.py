@@ -96,3 +96,25 @@ def test_gradients_match_differences():
             below = loss()[0]
             flat[at] = kept
             assert grads[name].reshape(-1)[at] == pytest.approx((above - below) / 2e-3, abs=2e-4)
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<article><p>one</p><svg viewBox='0 0 1 1'/><p>two</p></article>", ["one", "two"]),
+        ("<head><title>T</title><meta charset=utf-8><p>one<p>two", ["one", "two"]),
+        ("<head><title>T</title><link rel=x href=y><body><p>one", ["one"]),
+        ("<head><title>T</title> text<p>one", ["text", "one"]),
+        ("<head><title>a <b> c</title><noscript><p>no</p></noscript></head><p>one", ["one"]),
+        ("<p>one</p><svg-icon name=x></svg-icon><video-player></video-player><object-x></object-x><p>two</p>", ["one", "two"]),
+        ("<header>h</header><p>one</p>", ["h", "one"]),
+        ("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then", ["if x=2 then"]),
+        ("<p>one</p><svg><title>t</title><g><path/></g><text>no</text></svg><p>two</p>", ["one", "two"]),
+        ("<div><svg><path></div><p>two</p>", ["two"]),
+        ("<svg><path><p>two</p>", ["two"]),
+        ("<svg><foreignObject><p>no</p></foreignObject></svg><p>two</p>", ["two"]),
+        ("<p>one</p><template><div><template>no</template>no</div></template><video><p>no</p></video><p>two</p>", ["one", "two"]),
+    ],
+)
+def test_only_what_is_not_shown_is_left_out(page, texts):
+    assert [x.text for x in extraction.leaves(page)] == texts
