@@ -196,12 +196,14 @@ def pack(
     id_column: str = "doc_id",
     text_column: str = "text",
     keep_ids: bool = False,
+    number_rows: bool = False,
 ) -> DataFrame:
     """Pack whole documents; one row per piece.
 
     Columns: doc_id, start and length (of the piece among the document's ids), ids_crc32,
     doc_tokens, sequence_id, offset, and with ``keep_ids`` the piece's ids as ``ids`` (little-endian
-    unsigned 32-bit). A null or empty text is the end id alone. A null doc_id stays null and
+    unsigned 32-bit), and with ``number_rows`` ``row``, one number for each row of ``df`` that has its
+    pieces. A null or empty text is the end id alone. A null doc_id stays null and
     repeated rows are documents of their own. A sequence is a run of a task's rows: its id holds
     the task's partition, so a task that runs again gives the same ids.
     """
@@ -210,6 +212,8 @@ def pack(
     ]
     if keep_ids:
         fields.append(("ids", pa.binary()))
+    if number_rows:
+        fields.insert(0, ("row", pa.int64()))
     arrow = pa.schema(fields)
     schema = ", ".join(f"{name} {'binary' if name == 'ids' else 'bigint'}" for name, _ in fields)
 
@@ -217,16 +221,19 @@ def pack(
         encode = chunk_encoder(tokenizer_file, end_id)
         packer = Packer(TaskContext.get().partitionId() << 36, capacity)
         rows: list[tuple] = []
+        number = TaskContext.get().partitionId() << 36
 
         def batch() -> pa.RecordBatch:
             # The ids, last in a row, are left off unless they are asked for.
-            columns = [pa.array(column, field.type) for column, field in zip(zip(*rows), arrow)]
+            found = [(*row[0][::-1], *row[1:]) for row in rows] if number_rows else rows
+            columns = [pa.array(column, field.type) for column, field in zip(zip(*found), arrow)]
             rows.clear()
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
         for given in batches:
             for doc_id, text in zip(given.column("doc_id").to_pylist(), given.column("text").to_pylist()):
-                rows += packer.add(doc_id, encode(text))
+                rows += packer.add((doc_id, number) if number_rows else doc_id, encode(text))
+                number += 1
                 if len(rows) >= BATCH:
                     yield batch()
         rows += packer.rest()

@@ -53,5 +53,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 4096 tokens."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    """Pieces of documents, with their tokens, in sequences of at most 4096.
+
+    The mix can hold two rows of one doc_id with different texts; ``row`` tells whose a piece is.
+    """
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, keep_ids=True, number_rows=True)

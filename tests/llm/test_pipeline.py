@@ -40,3 +40,19 @@ def test_all_queries_are_registered():
     for n in range(1, 11):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(queries.ORACLE) <= set(__spark_entry__.oracle_sql())
+
+
+def test_packed_sequences_hold_their_tokens_and_rows(spark):
+    """Two rows of one doc_id, as the mix makes them: each text can be put together again from its pieces."""
+    import public_tokenizers
+    from flowvigil.llm import packing, stages
+
+    texts = ["one text of some words " * 900, "another text " * 700, "short"]
+    docs = spark.createDataFrame([(7, t, "en", "s", len(t)) for t in texts], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    by_row = {}
+    for r in stages.packed(spark, docs, FOLDER).collect():
+        assert r.doc_id == 7 and len(r.ids) == 4 * r.length
+        by_row.setdefault(r.row, []).append((r.start, bytes(r.ids)))
+    encode = packing.ChunkEncoder(public_tokenizers.path("word_bpe_49k.json"), stages.END_ID)
+    got = sorted(b"".join(ids for _, ids in sorted(pieces)) for pieces in by_row.values())
+    assert got == sorted(encode(t.encode()) for t in texts)
