@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from flowvigil.llm import extraction, mixing, packing, passages, pseudo_likelihood, quality, simhash, spotsigs, tokens, topk
+from flowvigil.llm import alignment, decontamination, extraction, manifest, mixing, packing, passages, pseudo_likelihood, quality, simhash, spotsigs, tokens, topk
 from flowvigil.llm.shared import table
 from flowvigil.llm.stages import END_ID, QUALITY_BOUND
 from flowvigil.staging import Staging
@@ -70,6 +70,20 @@ def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
     return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs, Staging(spark)))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.aligned(docs, Staging(spark), *files)[0]
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest.document_proofs(table(spark, folder, "documents"), Staging(spark))
+
+
+def op13_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"), Staging(spark))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -81,6 +95,9 @@ QUERIES = {
     "op8_html_extraction": op8_html_extraction,
     "op9_topk": op9_topk,
     "op10_pseudo_likelihood": op10_pseudo_likelihood,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_decontamination": op13_decontamination,
 }
 
 #: The same rules over plain windows: water line, block permutation and the words of every slot.
@@ -143,4 +160,27 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op7_source_mixing": OP7_SQL, "op9_topk": OP9_SQL}
+#: Windows as joined text; a word is hit if an occurrence of a window covers its place.
+OP13_SQL = r"""
+WITH lowered AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+item_words AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE item_id IS NOT NULL),
+starts AS (
+  SELECT item_id, words, unnest(generate_series(1, greatest(len(words) - 9, 1))) AS s FROM item_words WHERE len(words) > 0),
+windows AS (SELECT DISTINCT item_id, least(len(words), 10) AS n, array_to_string(words[s:s + 9], ' ') AS w FROM starts),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT row, words, n, unnest(generate_series(1, len(words) - n + 1)) AS s FROM lowered, sizes WHERE len(words) >= n),
+held AS (SELECT row, n, s, array_to_string(words[s:s + n - 1], ' ') AS w FROM places),
+found AS (SELECT row, s, held.n, item_id FROM held JOIN windows USING (n, w)),
+hits AS (SELECT row, count(DISTINCT p) AS n_hit FROM (SELECT row, unnest(generate_series(s, s + n - 1)) AS p FROM found) GROUP BY row),
+named AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, item_id::VARCHAR AS item FROM found) GROUP BY row)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM lowered LEFT JOIN hits USING (row) LEFT JOIN named USING (row)
+"""
+
+ORACLE: dict[str, str] = {"op7_source_mixing": OP7_SQL, "op9_topk": OP9_SQL, "op13_decontamination": OP13_SQL}

@@ -52,6 +52,11 @@ def map_batches(
     return small_batches(df).mapInArrow(run, schema)
 
 
+def cogrouped(left: DataFrame, right: DataFrame, keys: list[str]):
+    """Cogroups of two tables that may come from the same one; columns get identities of their own."""
+    return left.toDF(*left.columns).groupBy(*keys).cogroup(right.toDF(*right.columns).groupBy(*keys))
+
+
 _REMEMBERING: dict[str, Callable[[], object]] = {}
 
 
