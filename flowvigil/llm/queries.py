@@ -183,4 +183,48 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM lowered LEFT JOIN hits USING (row) LEFT JOIN named USING (row)
 """
 
-ORACLE: dict[str, str] = {"op7_source_mixing": OP7_SQL, "op9_topk": OP9_SQL, "op13_decontamination": OP13_SQL}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_FIELD = "coalesce(strlen({0}) || ':' || {0}, '-')"
+_HEAD = " || ".join(_FIELD.format(f"{c}::VARCHAR") for c in ("doc_id", "source", "lang", "n_chars"))
+#: CRC-32 bit by bit: bytes of the number go in, -1 stands for a shift.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split(doc_id::VARCHAR, '')])),
+      lambda c, x: CASE WHEN x >= 0 THEN xor(c, x::BIGINT) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END), 4294967295)"""
+#: Levels by recursion over runs of 16, and folding by recursion over a leaf's levels.
+OP12_SQL = f"""
+WITH RECURSIVE fields AS (
+  SELECT row_number() OVER () AS row, doc_id, source, {_HEAD} AS head, text, coalesce({_CRC} % 5 = 0, false) AS chosen FROM documents),
+leaves AS (
+  SELECT row, doc_id, source, sha256(head || {_FIELD.format('text')}) AS leaf,
+    CASE WHEN chosen THEN sha256(head || {_FIELD.format(_LOWER.format('text'))}) ELSE sha256(head || {_FIELD.format('text')}) END AS changed FROM fields),
+trees AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM (SELECT DISTINCT source FROM leaves)),
+ranked AS (
+  SELECT row, doc_id, leaf, changed, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank
+  FROM leaves JOIN trees ON leaves.source IS NOT DISTINCT FROM trees.source),
+nodes AS (
+  SELECT 0 AS level, tree, rank AS idx, leaf AS digest, count(*) OVER (PARTITION BY tree) AS n FROM ranked
+  UNION ALL
+  SELECT level + 1, tree, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (max(n) + 15) // 16 FROM nodes WHERE n > 1 GROUP BY level, tree, idx // 16),
+subroots AS (SELECT tree, digest AS subroot FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, tree AS idx, subroot AS digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (max(n) + 15) // 16 FROM tops WHERE n > 1 GROUP BY level, idx // 16),
+runs AS (SELECT level, tree, idx // 16 AS run, list(digest ORDER BY idx) AS ds FROM nodes WHERE n > 1 GROUP BY level, tree, idx // 16),
+top_runs AS (SELECT level, idx // 16 AS run, list(digest ORDER BY idx) AS ds FROM tops WHERE n > 1 GROUP BY level, idx // 16),
+steps AS (
+  SELECT row, level AS step, ds, (rank // pow(16, level)::BIGINT) % 16 AS place FROM ranked JOIN runs USING (tree) WHERE run = rank // pow(16, level + 1)::BIGINT
+  UNION ALL
+  SELECT row, 100 + level, ds, (tree // pow(16, level)::BIGINT) % 16 FROM ranked JOIN top_runs ON run = tree // pow(16, level + 1)::BIGINT),
+paths AS (
+  SELECT row, row_number() OVER (PARTITION BY row ORDER BY step) AS k, array_to_string(ds[1:place], '') AS lefts, array_to_string(ds[place + 2:], '') AS rights FROM steps),
+folds AS (
+  SELECT row, 0 AS k, changed AS digest FROM ranked
+  UNION ALL
+  SELECT folds.row, folds.k + 1, sha256(lefts || digest || rights) FROM folds JOIN paths ON paths.row = folds.row AND paths.k = folds.k + 1),
+ends AS (SELECT row, arg_max(digest, k) AS folded_root FROM folds GROUP BY row),
+proofs AS (SELECT row, sha256(string_agg(lefts || rights, '' ORDER BY k)) AS proof_sha256 FROM paths GROUP BY row)
+SELECT doc_id, leaf, subroot, digest AS root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = digest AS verified
+FROM ranked JOIN subroots USING (tree) JOIN ends USING (row) LEFT JOIN proofs USING (row) JOIN tops ON n = 1
+"""
+
+ORACLE: dict[str, str] = {"op7_source_mixing": OP7_SQL, "op9_topk": OP9_SQL, "op12_merkle_manifest": OP12_SQL, "op13_decontamination": OP13_SQL}

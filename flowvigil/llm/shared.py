@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from flowvigil.staging import Staging
@@ -52,6 +54,63 @@ def map_batches(
     return small_batches(df).mapInArrow(run, schema)
 
 
+def lots(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """The rows in tables of about ``size`` bytes of ``text``; a longer text is a lot of its own."""
+    held, filled = [], 0
+    for batch in batches:
+        lengths, start = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), 0
+        for at in range(batch.num_rows):
+            if filled and filled + lengths[at] > size:
+                yield pa.Table.from_batches([*held, batch.slice(start, at - start)])
+                held, filled, start = [], 0, at
+            filled += int(lengths[at])
+        held.append(batch.slice(start))
+    if sum(x.num_rows for x in held):
+        yield pa.Table.from_batches(held)
+
+
+def text_bytes(texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' bytes side by side, and where each text starts and the last one ends."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets.astype(np.int64) - offsets[0]
+
+
+ASCII_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+#: Bytes with A-Z lower-cased.
+LOWERED = np.arange(256, dtype=np.uint8)
+LOWERED[0x41:0x5B] += 0x20
+
+
+def split_words(texts: pa.BinaryArray, apart: np.ndarray = ASCII_SPACE, cuts: np.ndarray | None = None) -> tuple[pa.BinaryArray, np.ndarray]:
+    """Words of all texts in order, A-Z lower-cased, and how many each text has.
+
+    ``apart`` marks the bytes that stand between words; ``cuts`` the pairs of bytes between which a word ends too.
+    """
+    data, bounds = text_bytes(texts)
+    inside = ~apart[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    first = bounds[:-1][np.diff(bounds) > 0]
+    begins[first] = inside[first]
+    if cuts is not None:
+        begins[1:] |= cuts[data[:-1], data[1:]]
+    at = np.flatnonzero(begins)
+    # Without the bytes between them, each word ends where the next one starts.
+    kept = np.concatenate([[0], np.cumsum(inside)])
+    ends = np.append(kept[at], kept[-1]).astype(np.int32)
+    own = LOWERED[data[inside]]
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(own.tobytes())])
+    return words, np.diff(np.searchsorted(at, bounds))
+
+
+def int_lists(parts: list[bytes]) -> pa.ListArray:
+    """Lists of 32-bit numbers from their bytes."""
+    sizes = np.array([len(x) // 4 for x in parts], np.int64)
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
+
+
 def cogrouped(left: DataFrame, right: DataFrame, keys: list[str]):
     """Cogroups of two tables that may come from the same one; columns get identities of their own."""
     return left.toDF(*left.columns).groupBy(*keys).cogroup(right.toDF(*right.columns).groupBy(*keys))
