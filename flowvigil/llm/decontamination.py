@@ -10,7 +10,6 @@ all words are left. A proximity search chains the nearest places of the words be
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from flowvigil.llm.shared import cogrouped, id_and_bytes
+from flowvigil.llm.shared import cogrouped, id_and_bytes, lots, split_words
 from flowvigil.staging import Staging
 
 #: Bytes of text in a segment, about; a longer document is a segment of its own.
@@ -33,32 +32,10 @@ WORDS = 10
 NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-@functools.cache
-def _lower() -> np.ndarray:
-    """Bytes with A-Z lower-cased, and 0 for bytes that belong to no word."""
-    table = np.zeros(256, np.uint8)
-    for low, high in ((0x30, 0x3A), (0x61, 0x7B), (0x80, 0x100)):
-        table[low:high] = np.arange(low, high)
-    table[0x41:0x5B] = table[0x61:0x7B]
-    return table
-
-
-def words_of(texts: pa.BinaryArray) -> tuple[pa.BinaryArray, np.ndarray]:
-    """Words of all texts, in order, and how many each text has."""
-    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
-    data = _lower()[np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]]
-    bounds = offsets.astype(np.int64) - offsets[0]
-    inside = data > 0
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    first = bounds[:-1][np.diff(bounds) > 0]
-    begins[first] = inside[first]
-    at = np.flatnonzero(begins)
-    # Without the bytes between them, each word ends where the next one starts.
-    kept = np.concatenate([[0], np.cumsum(inside)])
-    ends = np.append(kept[at], kept[-1]).astype(np.int32)
-    words = pa.BinaryArray.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data[inside].tobytes())])
-    return words, np.diff(np.searchsorted(at, bounds))
+#: Bytes that belong to no word; bytes from 0x80 are parts of characters beyond ASCII.
+APART = np.ones(256, bool)
+for _low, _high in ((0x30, 0x3A), (0x41, 0x5B), (0x61, 0x7B), (0x80, 0x100)):
+    APART[_low:_high] = False
 
 
 INDEX = "segment bigint, word binary, n bigint, places binary, row int, doc_id bigint"
@@ -67,10 +44,9 @@ ARROW = pa.schema(
 )
 
 
-def _segment(held: list[pa.RecordBatch], number: int) -> Iterator[pa.RecordBatch]:
+def _segment(table: pa.Table, number: int) -> Iterator[pa.RecordBatch]:
     """Rows of one segment: its words with their places, then its documents with their numbers of words."""
-    table = pa.Table.from_batches(held).combine_chunks()
-    words, sizes = words_of(table["text"].combine_chunks())
+    words, sizes = split_words(table["text"].combine_chunks(), APART)
     coded = words.dictionary_encode()
     codes = coded.indices.to_numpy()
     order = np.argsort(codes, kind="stable").astype(np.int32)
@@ -101,17 +77,9 @@ def index(df: DataFrame, staging: Staging, id_column: str = "doc_id", text_colum
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, number, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
-        for batch in batches:
-            lengths, start = pc.binary_length(batch.column("text")).to_numpy(), 0
-            for at in range(batch.num_rows):
-                if size and size + lengths[at] > SEGMENT_BYTES:
-                    yield from _segment([*held, batch.slice(start, at - start)], base + number)
-                    held, size, start, number = [], 0, at, number + 1
-                size += int(lengths[at])
-            held.append(batch.slice(start))
-        if sum(x.num_rows for x in held):
-            yield from _segment(held, base + number)
+        base = TaskContext.get().partitionId() << 32
+        for number, lot in enumerate(lots(batches, SEGMENT_BYTES)):
+            yield from _segment(lot.combine_chunks(), base + number)
 
     return staging.table(id_and_bytes(df, id_column, text_column).mapInArrow(run, INDEX), "postings")
 
@@ -191,7 +159,9 @@ def search(postings: DataFrame, phrases: DataFrame, staging: Staging, slop: int
     many other words between them, and an occurrence is the tightest one around a place of the rarest word.
     """
     held = postings.where(F.col("word").isNotNull())
+    # A staged table has a known size: few words are sent to the index, and many are shuffled with it.
     asked = phrases.select(F.explode("words").alias("word")).distinct().select(F.col("word").cast("binary").alias("word"))
+    asked = staging.table(asked.coalesce(1) if phrases.count() < LOT_PHRASES else asked, "asked")
     relevant = staging.table(held.select("segment", "word", "n", "places").join(asked, "word"), "relevant")
     counts = relevant.groupBy("word").agg(F.sum("n").alias("total"))
     plans = staging.table(_plans(phrases, counts), "plans")
