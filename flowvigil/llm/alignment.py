@@ -25,15 +25,15 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from flowvigil.llm.shared import cogrouped, id_and_bytes, remembering
+from flowvigil.llm.shared import cogrouped, id_and_bytes, int_lists, lots, remembering, text_bytes
 from flowvigil.staging import Staging
 
 #: Bytes of text whose segments are listed together, segments that are joined at once, links of a block.
-LOT_BYTES = 8 << 20
-SLICE = 400_000
-BLOCK_LINKS = 2_000_000
+LOT_BYTES = 4 << 20
+SLICE = 150_000
+BLOCK_LINKS = 1_000_000
 #: Segments a worker remembers before it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: A key is a document's number in its lot, then so many bits of its byte offset.
 OFFSET_BITS = 40
 
@@ -129,10 +129,8 @@ def segments_of(texts: pa.BinaryArray, cuts: np.ndarray) -> tuple[pa.BinaryArray
     A segment starts where ``cuts`` allows it, at a space or line feed behind a letter of two bytes (U+00C0 to
     U+07FF, none of which is white space or in a token with a space behind it), and at the start of a text.
     """
-    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-    starts = offsets[:-1].astype(np.int64) - offsets[0]
-    lengths = np.diff(offsets)
+    data, bounds = text_bytes(texts)
+    starts, lengths = bounds[:-1], np.diff(bounds)
     cut = np.zeros(len(data), bool)
     cut[1:] = cuts[data[:-1], data[1:]]
     letter = (data[:-2] >= 0xC3) & (data[:-2] <= 0xDF) & (data[1:-1] >= 0x80)
@@ -140,17 +138,11 @@ def segments_of(texts: pa.BinaryArray, cuts: np.ndarray) -> tuple[pa.BinaryArray
     cut[starts[lengths > 0]] = True
     begins = np.flatnonzero(cut)
     parent = np.repeat(np.arange(len(texts)), lengths)[begins]
-    bounds = np.append(begins, len(data)).astype(np.int32)
-    values = pa.BinaryArray.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(bounds.tobytes()), pa.py_buffer(data.tobytes())])
+    ends = np.append(begins, len(data)).astype(np.int32)
+    values = pa.BinaryArray.from_buffers(pa.binary(), len(begins), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
     return values, parent
 
 
-def _lists(parts: list[bytes]) -> pa.ListArray:
-    sizes = np.array([len(x) // 4 for x in parts], np.int64)
-    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(parts), np.int32)))
-
-
 def _side(lists: pa.ListArray, codes: np.ndarray, docs: np.ndarray, lengths: np.ndarray, name: str) -> pa.Table:
     """Document-end key and id of every token, in order."""
     taken = lists.take(pa.array(codes))
@@ -209,8 +201,8 @@ def align(own: TwoTokenizers, texts: pa.BinaryArray) -> tuple[dict[str, np.ndarr
     spoilt = np.zeros(len(texts), bool)
     spoilt[parent[bad[codes]]] = True
     codes, parent = codes[~spoilt[parent]], parent[~spoilt[parent]]
-    lists_a = _lists([x[0] if x else b"" for x in found])
-    lists_b = _lists([x[1] if x else b"" for x in found])
+    lists_a = int_lists([x[0] if x else b"" for x in found])
+    lists_b = int_lists([x[1] if x else b"" for x in found])
     counts = {name: np.zeros(len(texts), np.int64) for name in ("n_a", "n_b", "n_groups", "n_links")}
     hashes: dict[int, object] = {}
     tables = []
@@ -261,29 +253,13 @@ ARROW = pa.schema(
 )
 
 
-def _lots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Rows in tables of about LOT_BYTES of text; a longer text is a lot of its own."""
-    held, size = [], 0
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy()
-        start = 0
-        for at in range(batch.num_rows):
-            if size and size + lengths[at] > LOT_BYTES:
-                yield pa.Table.from_batches([*held, batch.slice(start, at - start)], batch.schema)
-                held, size, start = [], 0, at
-            size += int(lengths[at])
-        held.append(batch.slice(start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def encode(df: DataFrame, byte_level_file: str, piece_file: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Rows of documents and of blocks (see ``Links.flushed``), by one pass over the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, number, block = tokenizers_of(byte_level_file, piece_file), 0, Links()
         base = TaskContext.get().partitionId() << 32
-        for lot in _lots(batches):
+        for lot in lots(batches, LOT_BYTES):
             texts = lot["text"].combine_chunks()
             spaced = pc.binary_join_element_wise(b"", texts, b" ")
             texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), pa.scalar(b""), spaced)
