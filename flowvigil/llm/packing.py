@@ -22,11 +22,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from flowvigil.llm.shared import id_and_bytes, remembering
+from flowvigil.llm.shared import id_and_bytes, int_lists, lots, remembering, split_words
 
 CAPACITY = 4096
 SMALLEST = 64
@@ -34,6 +35,8 @@ SMALLEST = 64
 REMEMBERED = 400_000
 #: Signs and letters below U+017F whose lower case and normal form are plain; no white space, no controls.
 PLAIN = regex.compile("[!-~\u00a1-\u00ac\u00ae-\u012f\u0131-\u0148\u014a-\u017e]+")
+#: Bytes of text whose chunks are looked up together.
+LOT_BYTES = 4 << 20
 #: Pieces in one output batch.
 BATCH = 20_000
 
@@ -67,6 +70,11 @@ class ChunkEncoder:
         self.chunks: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.end = np.array([end_id], dtype="<u4").tobytes()
+        # Between a letter and a sign the pattern always cuts.
+        letters = [*range(0x41, 0x5B), *range(0x61, 0x7B)]
+        signs = [x for x in range(0x21, 0x7F) if x not in letters and not 0x30 <= x < 0x3A]
+        self.cuts = np.zeros((256, 256), bool)
+        self.cuts[np.ix_(letters, signs)] = True
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -74,7 +82,8 @@ class ChunkEncoder:
     def _new_parts(self, parts: list[str]) -> None:
         if len(self.parts) + len(parts) > REMEMBERED:
             self.parts.clear()
-        ids = np.array(self._ids(" ".join(parts)), dtype="<u4")
+        lines = [" ".join(parts[at : at + 100]) for at in range(0, len(parts), 100)]
+        ids = np.concatenate([np.array(x.ids, dtype="<u4") for x in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) != len(parts) or stops[-1] != len(ids):
             for part in parts:
@@ -120,6 +129,26 @@ class ChunkEncoder:
                 known = ChainMap(known, fresh)
         return b"".join([*map(known.__getitem__, chunks), self.end])
 
+    def encoded(self, texts: pa.BinaryArray) -> Iterator[bytes]:
+        """What the call gives for each text; chunks that texts share are looked up once."""
+        chunks, sizes = split_words(texts, cuts=self.cuts)
+        coded = chunks.dictionary_encode()
+        distinct, known, fresh = coded.dictionary.to_pylist(), self.chunks, {}
+        missing = {x for x in distinct if x not in known}
+        if missing:
+            fresh = self._new_chunks(missing)
+        lists = int_lists([known[x] if x in known else fresh[x] for x in distinct])
+        if len(known) + len(fresh) > REMEMBERED:
+            known.clear()
+        known.update((x, ids) for x, ids in fresh.items() if len(x) < 200)
+        counts = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy()[coded.indices.to_numpy()])])
+        ids = pc.list_flatten(lists.take(coded.indices)).to_numpy()
+        bounds = counts[np.concatenate([[0], np.cumsum(sizes)])].tolist()
+        # A special string would be cut at its signs.
+        special = pc.match_substring(texts, "<|").to_pylist()
+        for at, (a, b) in enumerate(zip(bounds, bounds[1:])):
+            yield self(texts[at].as_py()) if special[at] else ids[a:b].tobytes() + self.end
+
 
 @functools.cache
 def _chunk_encoder(tokenizer_file: str, end_id: int) -> ChunkEncoder:
@@ -230,9 +259,9 @@ def pack(
             rows.clear()
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
-        for given in batches:
-            for doc_id, text in zip(given.column("doc_id").to_pylist(), given.column("text").to_pylist()):
-                rows += packer.add((doc_id, number) if number_rows else doc_id, encode(text))
+        for given in lots(batches, LOT_BYTES):
+            for doc_id, ids in zip(given["doc_id"].to_pylist(), encode.encoded(given["text"].combine_chunks())):
+                rows += packer.add((doc_id, number) if number_rows else doc_id, ids)
                 number += 1
                 if len(rows) >= BATCH:
                     yield batch()

@@ -4,6 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from cases import no_documents, odd_documents
@@ -26,6 +27,14 @@ def test_chunks_encode_as_the_library_encodes_texts(encoder):
         assert got == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
 
 
+def test_texts_together_encode_as_each_alone(encoder):
+    rng = random.Random(6)
+    texts = ["".join(rng.choices(SIGNS, k=rng.randint(0, 14))) for _ in range(3000)]
+    got = list(encoder.encoded(pa.array([t.encode() for t in texts], pa.binary())))
+    for text, ids in zip(texts, got):
+        assert np.frombuffer(ids, "<u4").tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2], text
+
+
 def test_memory_limits_do_not_change_ids(encoder, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 4)
     own = packing.ChunkEncoder(FILE, 2)
