@@ -66,8 +66,7 @@ def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    return pseudo_likelihood.score(docs, *pseudo_likelihood.fit(docs, Staging(spark)))
+    return pseudo_likelihood.fit_and_score(table(spark, folder, "documents"), Staging(spark))
 
 
 def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
