@@ -23,6 +23,9 @@ class NoStaging:
     def drop(self) -> None:
         pass
 
+    def release(self) -> None:
+        pass
+
 
 class Staging:
     def __init__(self, spark: SparkSession, folder: str | None = None):
@@ -48,6 +51,11 @@ class Staging:
         target = jvm.org.apache.hadoop.fs.Path(self.folder)
         files = target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
         files.delete(target, True)
+        self.release()
+
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished steps now; it does when the driver collects its garbage."""
+        self.spark.sparkContext._jvm.System.gc()
 
     def __enter__(self) -> Staging:
         return self
