@@ -11,6 +11,8 @@ from flowvigil.llm.stages import END_ID, QUALITY_BOUND
 from flowvigil.staging import Staging
 
 TOKEN_LIMIT = 4096
+#: Slots of 128 words in an output shard of the mix.
+MIX_SHARD = 1024
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
@@ -53,7 +55,8 @@ def op6_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents"), Staging(spark)).select("doc_id", "size", "source_size", "target", "taken")
+    mixed = mixing.mix(table(spark, folder, "documents"), Staging(spark), shard_slots=MIX_SHARD)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "n_shards")
 
 
 def op8_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,9 +102,15 @@ QUERIES = {
     "op13_decontamination": op13_decontamination,
 }
 
-#: The same rules over plain windows: water line, block permutation and the words of every slot.
-OP7_SQL = r"""
-WITH sized AS (
+
+
+def _scrambled(x: str) -> str:
+    return f"list_reduce([({x}) % 2147483648, 16, 15, 13]::BIGINT[], lambda h, n: (xor(h, h >> n) * 73244475) % 2147483648)"
+
+
+#: The same rules over plain windows: water line, draws of all slots, their correction, the permutation and the words of every slot.
+OP7_SQL = rf"""
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
 by_source AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 ranked AS (
@@ -122,16 +131,44 @@ counted AS (
 quotas AS (
   SELECT rank, source_size, blocks, words // source_size AS passes, words % source_size AS over,
     (words // source_size) * blocks + (words % source_size + 127) // 128 AS slots FROM counted),
+ranges AS (
+  SELECT *, coalesce(sum(slots) OVER (ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS first_slot, sum(slots) OVER ()::BIGINT AS total FROM quotas),
+ids AS (SELECT unnest(generate_series(0, (SELECT max(total) FROM ranges) - 1)) AS id),
+highs AS (SELECT id, {_scrambled(_scrambled("42 + id // 2147483648") + " + id")} AS high FROM ids),
+places AS (SELECT id // {MIX_SHARD} AS shard, (high * 2147483648 + {_scrambled("high + id")}) % (SELECT max(total) FROM ranges) AS place FROM highs),
+drawn AS (
+  SELECT rank, shard, any_value(slots) AS slots, count(*) AS drawn FROM places JOIN ranges ON place >= first_slot AND place < first_slot + slots GROUP BY rank, shard),
+kept AS (
+  SELECT rank, shard, drawn, least(drawn, greatest(slots - coalesce(sum(drawn) OVER (
+    PARTITION BY rank ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0), 0))::BIGINT AS n FROM drawn),
+free AS (SELECT shard, row_number() OVER (ORDER BY shard) AS k FROM (SELECT shard, unnest(generate_series(1, sum(drawn - n)::BIGINT)) FROM kept GROUP BY shard)),
+lacks AS (
+  SELECT rank, row_number() OVER (ORDER BY rank) AS k
+  FROM (SELECT rank, unnest(generate_series(1, slots - coalesce(held, 0))) FROM quotas LEFT JOIN (SELECT rank, sum(n)::BIGINT AS held FROM kept GROUP BY rank) USING (rank))),
+shards AS (
+  SELECT shard, rank, sum(n)::BIGINT AS n FROM (SELECT shard, rank, n FROM kept UNION ALL SELECT shard, rank, 1 FROM free JOIN lacks USING (k)) GROUP BY shard, rank),
+dealt AS (
+  SELECT shard, rank, unnest(generate_series(1, n)) FROM shards),
 slots AS (
-  SELECT rank, source_size, blocks, passes, over, slots, slot, slot // blocks AS turn, slot % blocks AS index
-  FROM quotas, LATERAL (SELECT unnest(generate_series(0, slots - 1)) AS slot)),
+  SELECT rank, shard, source_size, blocks, passes, over, slots, slot, slot // blocks AS turn, slot % blocks AS index
+  FROM (SELECT shard, rank, row_number() OVER (PARTITION BY rank ORDER BY shard) - 1 AS slot FROM dealt) JOIN quotas USING (rank)),
+keyed AS (
+  SELECT rank, slot, index, blocks - 1 AS full_blocks, ceil(sqrt(blocks - 1))::BIGINT AS width, {_scrambled(_scrambled("43 + rank") + " + turn")} AS key
+  FROM slots WHERE index < blocks - 1),
+walk AS (
+  SELECT rank, slot, key, full_blocks, width, ceil(full_blocks / width)::BIGINT AS height, index AS x, 0 AS k FROM keyed
+  UNION ALL
+  SELECT rank, slot, key, full_blocks, width, height, r2 * width + l2, k + 1
+  FROM (SELECT *, (r1 + {_scrambled("key + 46457589 + l2")}) % height AS r2
+  FROM (SELECT *, (l1 + {_scrambled("key + 30971726 + r1")}) % width AS l2
+  FROM (SELECT *, (r0 + {_scrambled("key + 15485863 + l1")}) % height AS r1
+  FROM (SELECT *, (l0 + {_scrambled("key + r0")}) % width AS l1
+  FROM (SELECT *, x % width AS l0, x // width AS r0 FROM walk WHERE k = 0 OR x >= full_blocks)))))),
 mapped AS (
-  SELECT rank,
-    CASE WHEN index = blocks - 1 THEN index ELSE (index * CASE WHEN (blocks - 1) % 134217689 <> 0 THEN 134217689 ELSE 67108859 END
-      + rank * 7919 + turn * 104729) % greatest(blocks - 1, 1) END AS block,
+  SELECT rank, shard, CASE WHEN index = blocks - 1 THEN index ELSE x END AS block,
     CASE WHEN turn = passes AND slot = slots - 1 THEN over - index * 128
       WHEN index = blocks - 1 THEN source_size - index * 128 ELSE 128 END AS words
-  FROM slots),
+  FROM slots LEFT JOIN (SELECT rank, slot, x FROM walk WHERE k > 0 AND x < full_blocks) USING (rank, slot)),
 placed AS (
   SELECT row_number() OVER () AS row, t.rank, doc_id, size, source_size, target,
     sum(size) OVER (PARTITION BY t.rank ORDER BY doc_id, size ROWS UNBOUNDED PRECEDING) - size AS start
@@ -139,10 +176,12 @@ placed AS (
 pieces AS (
   SELECT *, unnest(generate_series((start // 128)::BIGINT, ((start + size - 1) // 128)::BIGINT)) AS block
   FROM placed WHERE size > 0),
+parts AS (
+  SELECT row, shard, greatest(least(start + size - p.block * 128, 128, words) - greatest(start - p.block * 128, 0), 0) AS taken
+  FROM pieces p JOIN mapped m ON p.rank = m.rank AND p.block = m.block),
 taken AS (
-  SELECT row, sum(greatest(least(start + size - p.block * 128, 128, words) - greatest(start - p.block * 128, 0), 0))::BIGINT AS taken
-  FROM pieces p JOIN mapped m ON p.rank = m.rank AND p.block = m.block GROUP BY row)
-SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken FROM placed LEFT JOIN taken USING (row)
+  SELECT row, sum(taken)::BIGINT AS taken, count(DISTINCT shard) AS n_shards FROM parts WHERE taken > 0 GROUP BY row)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, coalesce(n_shards, 0)::BIGINT AS n_shards FROM placed LEFT JOIN taken USING (row)
 """
 
 #: Every pair of a query and a row, by plain products.
