@@ -12,6 +12,7 @@ boilerplate, whose labels are known, so that it doesn't hang on one template.
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import random
@@ -60,6 +61,8 @@ CLOSED_BY_ITSELF = {
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    # A start tag of these with an open quote: its content is no text either.
+    r"|<(?P<torn>" + "|".join(RAW) + r")(?=[\s/>])(?![^<>\"']*>)[^>]*>.*?(?:</(?P=torn)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)",
     re.S | re.I,
@@ -78,6 +81,19 @@ REMEMBERED = 200_000
 LABELLED = 8192
 
 
+#: Parts of a compound class that tell of a state of the page, not of what an element holds.
+STATES = frozenset("has no not with without is show hide hidden open closed on off enabled disabled fixed dark light".split())
+
+
+@functools.lru_cache(4096)
+def class_names(name: str) -> tuple[str, ...]:
+    """A class by its letters; a compound one whole and, unless it tells of a state, in its parts, which are marked."""
+    parts = PART.findall(name)
+    if len(parts) < 2:
+        return tuple(parts)
+    return ("-".join(parts), *(() if STATES & set(parts) else ["~" + x for x in parts]))
+
+
 @dataclass
 class Leaf:
     text: str
@@ -137,7 +153,7 @@ def leaves(page: str) -> list[Leaf]:
         at = found.end()
         tag = found["tag"]
         if not tag:
-            if found["raw"] and found["raw"].lower() not in INLINE:
+            if found["raw"] or found["torn"]:
                 flush()
             continue
         tag = tag.lower()
@@ -173,7 +189,7 @@ def leaves(page: str) -> list[Leaf]:
             if name.lower() == "data-gold":
                 gold = value == "1"
             else:
-                names += PART.findall(value)
+                names += chain.from_iterable(map(class_names, value.split()))
         stack.append((tag, tuple(names), gold))
         state["silent"] = state["silent"] or tag in SILENT
     take(page[at:])
@@ -206,10 +222,19 @@ class Encoded:
     ratios: np.ndarray
 
 
+def shared_path(page: list[Leaf]) -> int:
+    """How many names all blocks' paths begin with: those of <body> and of wrappers around everything."""
+    first, last = min((x.path for x in page), default=()), max((x.path for x in page), default=())
+    return next((i for i, (a, b) in enumerate(zip(first, last)) if a != b), min(len(first), len(last)))
+
+
 def encode(page: list[Leaf]) -> Encoded:
     paths, words, ratios = [], [], []
+    shared = shared_path(page)
+    # What all blocks share tells them apart from nothing; it has names of its own.
+    around = {"page:" + x for x in page[0].path[:shared] if x[0] == "<"} if page else set()
     for i, leaf in enumerate(page):
-        named = {*leaf.path, "=" + leaf.path[-1] if leaf.path else "="}
+        named = {*around, *leaf.path[shared:], "=" + leaf.path[-1] if leaf.path else "="}
         paths.append([xxh32_intdigest(x) % PATH_BUCKETS for x in sorted(named)])
         own = leaf.text.split()
         words.append(_word_ids(own))
@@ -388,12 +413,17 @@ NOT_MAIN = {
     "sidebar", "notice", "cookie", "menu", "banner", "share", "related",
 }
 
+#: Classes that say how a page is set up; pages give them to <body> and to wrappers.
+SETUP = ["has-sidebar", "no-banner", "with-comments", "no-ads", "page", "home", "single", "post-template", "menu-open", "no-cookie-notice",
+         "header-fixed", "footer-dark", "share-enabled", "container", "related-on", "two-column", "layout", "nav-left", "form-page"]
+
 
 def weak_labels(page: list[Leaf]) -> np.ndarray | None:
     """Labels of a page that marks its article; None if it doesn't."""
     if not any(MARKED & set(leaf.path) for leaf in page):
         return None
-    return np.array([bool(MARKED & set(x.path)) and not NOT_MAIN & set(x.path) for x in page])
+    shared = shared_path(page)
+    return np.array([bool(MARKED & set(x.path)) and not NOT_MAIN & {n.lstrip("~") for n in x.path[shared:]} for x in page])
 
 
 def composed(texts: list[str], rng: random.Random) -> str:
@@ -418,16 +448,44 @@ def composed(texts: list[str], rng: random.Random) -> str:
     # Some blocks of an article are as short as those of a menu or footer, wherever they stand.
     texts = [" ".join(x.split()[: rng.randint(1, 4)]) if rng.random() < 0.2 else x for x in texts]
     main = rng.choice(MAIN)
-    body = "".join(
-        f"<h2>{x}</h2>" if len(x) < 80 and rng.random() < 0.3 else f"<blockquote>{x}</blockquote>" if rng.random() < 0.05
-        else f"<ul><li>{x}</li></ul>" if rng.random() < 0.05 else f"<p>{x}</p>"
-        for x in texts
-    )
-    inside = some(AFTER, 2) if rng.random() < 0.4 else ""
+
+    def block(text: str) -> str:
+        kind = rng.random()
+        if len(text) < 80 and kind < 0.3:
+            return f"<h2>{text}</h2>"
+        if kind < 0.7:
+            return f"<p>{text}</p>"
+        shape = rng.choice(ARTICLE_BLOCKS)
+        words = text.split()
+        half = len(words) // 2
+        return shape.format(text, " ".join(words[:half]) or text, " ".join(words[half:]))
+
+    body = "".join(map(block, texts))
+    inside = some(AFTER, 3) if rng.random() < 0.5 else some([x for x in AFTER if "comment" in x], 1) if rng.random() < 0.3 else ""
     within = f"<{main} data-gold='1'>{body}{inside}</{main.split()[0]}>"
-    if rng.random() < 0.3:
-        within = f"<div class='wrapper'>{within}</div>"
-    return f"<title>{texts[0]}</title><body>{some(BEFORE, 4)}{within}{some(AFTER, 4)}</body>"
+
+    def setup() -> str:
+        return " ".join(rng.sample(SETUP, rng.randint(1, 4)))
+
+    def wrapped(inner: str, share: float) -> str:
+        if rng.random() >= share:
+            return inner
+        tag = "form" if rng.random() < 0.25 else rng.choice(["div", "div", "section", "table"])
+        opened = f"<{tag} id='{rng.choice(['wrapper', 'aspnet', 'page', 'root'])}' class='{setup()}'>"
+        return opened + (f"<tr><td>{inner}</td></tr>" if tag == "table" else inner) + f"</{tag}>"
+
+    page = some(BEFORE, 4), wrapped(within, 0.3), some(AFTER, 4)
+    page = page if rng.random() < 0.9 else ("", page[1], "")
+    whole = wrapped(page[0] + wrapped(page[1] + page[2], 0.3), 0.3)
+    attributes = f" class='{setup()}'" if rng.random() < 0.5 else ""
+    return f"<title>{texts[0]}</title><body{attributes}>{whole}</body>"
+
+
+#: Blocks of an article beside paragraphs and headings: of the whole text, or of its halves.
+ARTICLE_BLOCKS = ["<blockquote>{0}</blockquote>", "<blockquote><p>{0}</p></blockquote>", "<ul><li>{0}</li></ul>", "<ul><li>{1}</li><li>{2}</li></ul>",
+                  "<ol><li>{1}</li><li>{2}</li></ol>", "<pre>{0}</pre>", "<pre><code>{0}</code></pre>", "<table><tr><td>{1}</td><td>{2}</td></tr></table>",
+                  "<table><thead><tr><th>{1}</th></tr></thead><tbody><tr><td>{2}</td></tr></tbody></table>", "<dl><dt>{1}</dt><dd>{2}</dd></dl>",
+                  "<figure><figcaption>{0}</figcaption></figure>", "<div>{0}</div>", "<section><p>{0}</p></section>", "<h3>{1}</h3><p>{2}</p>"]
 
 
 def fit(pages: DataFrame, staging: Staging, html_column: str = "html", id_column: str = "page_id") -> Labeller:

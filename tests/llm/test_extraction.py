@@ -118,3 +118,56 @@ def test_gradients_match_differences():
 )
 def test_only_what_is_not_shown_is_left_out(page, texts):
     assert [x.text for x in extraction.leaves(page)] == texts
+
+
+@pytest.mark.parametrize(
+    "page, texts",
+    [
+        ("<p>one</p><script type=\"a>var x = 1;</script><p>two</p>", ["one", "two"]),
+    ],
+)
+def test_torn_tags(page, texts):
+    assert [x.text for x in extraction.leaves(page)] == texts
+
+
+def inside_article(page, at, more):
+    cut = page.index(at) + (0 if at.startswith("</") else len(at))
+    return page[:cut] + more + page[cut:]
+
+
+#: One change to a given page each; ``None``: the article's text stays as it is.
+VARIANTS = {
+    "as given": (lambda p: p, None),
+    "classes of body": (lambda p: re.sub(r"<body[^>]*>", '<body class="has-sidebar no-banner">', p), None),
+    "wrapped in a form": (lambda p: re.sub(r"(<body[^>]*>)(.*)(</body>)", r'\1<form id="aspnet">\2</form>\3', p, flags=re.S), None),
+    "wrapped with classes": (lambda p: re.sub(r"(<body[^>]*>)(.*)(</body>)", r'\1<div class="page with-comments no-ads">\2</div>\3', p, flags=re.S), None),
+    "article in content": (lambda p: p.replace("<article>", '<div id="content"><article>').replace("</article>", "</article></div>"), None),
+    "no end of head": (lambda p: p.replace("</head>", ""), None),
+    "empty svg": (lambda p: inside_article(p, "<article>", "<svg viewBox='0 0 1 1'/>"), None),
+    "custom element": (lambda p: inside_article(p, "<article>", "<svg-icon></svg-icon>"), None),
+    "comments inside": (lambda p: inside_article(p, "</article>", '<div class="comments"><p>First!</p><p>I do not agree.</p></div>'), None),
+    "sidebar inside": (lambda p: inside_article(p, "</article>", '<div class="sidebar"><ul><li><a href="/">More</a></li></ul></div>'), None),
+    "pre, list and table": (
+        lambda p: inside_article(p, "<article>", "<pre>some code of it</pre><ul><li>a point of the list</li></ul><table><tr><td>a cell of the table</td></tr></table>"),
+        "some code of it\na point of the list\na cell of the table\n",
+    ),
+}
+
+
+@pytest.fixture(scope="module")
+def fitted(spark, tmp_path_factory):
+    from flowvigil.staging import Staging
+
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
+    return extraction.fit(pages, Staging(spark)), [r.html for r in pages.collect()]
+
+
+@pytest.mark.parametrize("name", VARIANTS)
+def test_no_article_is_lost_to_its_surroundings(fitted, name):
+    labeller, pages = fitted
+    change, more = VARIANTS[name]
+    read = [extraction.leaves(change(p)) for p in pages]
+    found = labeller.logits([extraction.encode(x) for x in read])
+    texts = ["\n".join(x.text for x, good in zip(page, own) if good > 0) for page, own in zip(read, found)]
+    wrong = [(text, (more or "") + gold(page)) for text, page in zip(texts, pages) if text != (more or "") + gold(page)]
+    assert not wrong, (len(wrong), len(pages), wrong[0])
