@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -18,6 +20,10 @@ from flowvigil.operators.folds import fold_split, type_weights, with_type_weight
 from flowvigil.staging import Staging
 
 
+#: Training rows for each task of a round.
+ROWS_A_TASK = 20_000
+
+
 @dataclass(frozen=True)
 class TrainConfig:
     """Tree ensemble settings; depth 6 gives up to 64 leaves."""
@@ -30,8 +36,8 @@ class TrainConfig:
     column_share: float = 0.8
     min_leaf_rows: int = 40
     seed: int = 42
-    # Training stops when the validation error no longer improves by this much.
-    stop_below: float = 0.001
+    # Rounds without a lower validation loss after which training ends.
+    patience: int = 100
 
 
 def assemble(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,8 +56,8 @@ def with_sample_weight(rows: DataFrame, label: str = "y_bin") -> DataFrame:
     return rows.withColumn("weight", balance * extra)
 
 
-def train_fold(rows: DataFrame, fold: int, cfg: TrainConfig = TrainConfig()) -> GBTClassificationModel:
-    """Model trained on all other folds, stopped early by this one.
+def weighted_split(rows: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
+    """Rows that train the model of a fold, with their weight, and the rows of the fold.
 
     ``rows`` carry ``features``, ``y_bin``, ``fold`` and optionally ``type_weight``, or ``attack_type``:
     then type weights are counted on the training rows alone, so validation rows don't shape them.
@@ -60,16 +66,44 @@ def train_fold(rows: DataFrame, fold: int, cfg: TrainConfig = TrainConfig()) ->
     if "attack_type" in rows.columns and "type_weight" not in rows.columns:
         labelled = train.withColumn("label", F.when(F.col("y_bin") == 1, "attack").otherwise("normal"))
         train = with_type_weight(labelled, type_weights(labelled)).drop("label")
-        held_out = held_out.withColumn("type_weight", F.lit(1.0))
-    weighted = with_sample_weight(train).withColumn("held_out", F.lit(False))
-    checks = held_out.withColumns({"weight": F.lit(1.0), "held_out": F.lit(True)})
+    return with_sample_weight(train), held_out.withColumn("weight", F.lit(1.0))
+
+
+@dataclass(frozen=True)
+class TrainedFold:
+    """The model up to its best round, and the validation loss after every round until training ended."""
+
+    model: GBTClassificationModel
+    losses: tuple[float, ...]
+
+
+def stopped(losses: Sequence[float], patience: int) -> tuple[int, int]:
+    """Best round and last round (both counted from 1) of training that ends ``patience`` rounds after the best one."""
+    best = 0
+    for at, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = at
+        elif at - best >= patience:
+            return best + 1, at + 1
+    return best + 1, len(losses)
+
+
+def train_fold(rows: DataFrame, fold: int, cfg: TrainConfig = TrainConfig()) -> TrainedFold:
+    """Model trained on all other folds (see ``weighted_split``), stopped early by this one.
+
+    A round draws its rows by the seed and its number, so a longer run repeats a shorter one: runs are
+    lengthened until one reaches past the end of patience, and the first rounds of it make the model.
+    """
+    train, held_out = weighted_split(rows, fold)
+    # A round has several jobs, so few rows are faster in few tasks.
+    tasks = 1 + rows.count() // ROWS_A_TASK
+    train, held_out = train.coalesce(tasks).persist(), held_out.coalesce(tasks).persist()
+    if held_out.isEmpty():
+        raise ValueError(f"fold {fold} has no rows")
     learner = GBTClassifier(
         featuresCol="features",
         labelCol="y_bin",
         weightCol="weight",
-        validationIndicatorCol="held_out",
-        validationTol=cfg.stop_below,
-        maxIter=cfg.rounds,
         maxDepth=cfg.depth,
         stepSize=cfg.learning_rate,
         subsamplingRate=cfg.row_share,
@@ -77,11 +111,39 @@ def train_fold(rows: DataFrame, fold: int, cfg: TrainConfig = TrainConfig()) ->
         minInstancesPerNode=cfg.min_leaf_rows,
         seed=cfg.seed,
     )
-    return learner.fit(weighted.unionByName(checks))
+    upto = min(cfg.rounds, cfg.patience + 1)
+    while True:
+        model = learner.setMaxIter(upto).fit(train)
+        losses = model.evaluateEachIteration(held_out)
+        best, last = stopped(losses, cfg.patience)
+        if last < upto or last - best >= cfg.patience or upto >= cfg.rounds:
+            break
+        upto = min(cfg.rounds, 2 * upto)
+    train.unpersist()
+    held_out.unpersist()
+    return TrainedFold(first_rounds(model, best), tuple(losses[:last]))
+
+
+def first_rounds(model: GBTClassificationModel, rounds: int) -> GBTClassificationModel:
+    """The model after its first ``rounds``."""
+    java, gateway = model._java_obj, SparkContext._active_spark_context._gateway
+    trees, weights = java.trees(), java.treeWeights()
+    kept = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, rounds)
+    weight = gateway.new_array(gateway.jvm.double, rounds)
+    for at in range(rounds):
+        kept[at], weight[at] = trees[at], weights[at]
+    short = gateway.jvm.org.apache.spark.ml.classification.GBTClassificationModel(
+        java.uid(), kept, weight, java.numFeatures(), java.numClasses()
+    )
+    java.copyValues(short, java.extractParamMap())
+    return GBTClassificationModel(short)
 
 
-def train_folds(rows: DataFrame, k: int, cfg: TrainConfig = TrainConfig()) -> list[GBTClassificationModel]:
-    return [train_fold(rows, fold, cfg) for fold in range(k)]
+def train_folds(rows: DataFrame, k: int, cfg: TrainConfig = TrainConfig()) -> list[TrainedFold]:
+    """The folds' models, trained side by side: a small round leaves most of a cluster idle."""
+    with ThreadPoolExecutor(k) as pool:
+        work = [pool.submit(inheritable_thread_target(rows.sparkSession)(train_fold), rows, fold, cfg) for fold in range(k)]
+        return [x.result() for x in work]
 
 
 def _probability(model: GBTClassificationModel, rows: DataFrame, name: str) -> DataFrame:
@@ -100,11 +162,11 @@ def out_of_fold(rows: DataFrame, models: Sequence[GBTClassificationModel]) -> Da
     return reduce(DataFrame.unionByName, parts)
 
 
-def fold_metrics(scored: DataFrame, models: Sequence[GBTClassificationModel], staging: Staging) -> DataFrame:
+def fold_metrics(scored: DataFrame, best_iterations: Sequence[int], staging: Staging) -> DataFrame:
     """Validation metrics per fold. ``scored`` is the staged out-of-fold table."""
     rows = scored.count()
     parts = []
-    for fold, model in enumerate(models):
+    for fold, best in enumerate(best_iterations):
         points = evaluation.curve(scored.where(F.col("fold") == fold), staging, "p_raw")
         sizes = points.agg(F.sum(F.col("pos") + F.col("neg")).alias("n_val"))
         parts.append(
@@ -114,7 +176,7 @@ def fold_metrics(scored: DataFrame, models: Sequence[GBTClassificationModel], st
                 evaluation.average_precision(points).scalar().alias("val_pr_auc"),
                 (F.lit(rows) - F.col("n_val")).alias("n_train"),
                 "n_val",
-                F.lit(model.getNumTrees).cast("bigint").alias("best_iteration"),
+                F.lit(best).cast("bigint").alias("best_iteration"),
             )
         )
     return reduce(DataFrame.unionByName, parts)

@@ -127,7 +127,7 @@ def test_learning_round_trip(spark, tmp_path):
     df = spark.createDataFrame(rows, "uid string, fold int, y_bin int, a double, b double")
     data = learning.assemble(df, ["a", "b"]).cache()
     cfg = learning.TrainConfig(rounds=2, depth=2, learning_rate=0.3, min_leaf_rows=1, row_share=1.0)
-    models = learning.train_folds(data, 2, cfg)
+    models = [x.model for x in learning.train_folds(data, 2, cfg)]
     sinks.save_models(models, str(tmp_path / "models"))
     loaded = sinks.load_models(spark, str(tmp_path / "models"))
     assert len(loaded) == 2
