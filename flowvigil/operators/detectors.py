@@ -25,6 +25,7 @@ from flowvigil.functions.categories import severity
 from flowvigil.functions.coercion import number_or_null, number_or_zero, whole_or_null
 from flowvigil.functions.flow import any_of, in_set
 from flowvigil.operators import rollup as r
+from flowvigil.operators.ordering import newest
 from flowvigil.operators.rollup import Detection, Scope, ratio
 from flowvigil.schema import RULE_ALERT
 from flowvigil.staging import NoStaging, Staging
@@ -103,11 +104,13 @@ def port_scan(flows: DataFrame, cfg: ScanConfig = ScanConfig()) -> Detection:
                 "src_short_n", "src_long_hosts", "victim_short_sources", "victim_long_sources"
             ).isNotNull()
         )
-        summary = hits.groupBy("orig_h").agg(
-            r.rows_total().alias("total"),
-            r.distinct_hosts().alias("uniq_hosts"),
-            r.distinct_ports().alias("uniq_ports"),
-            ratio(r.fails_total(), r.rows_total()).alias("fail_ratio"),
+        found = r.exact_statistics(hits, ["orig_h"], ["n", "fails", "hosts", "ports"])
+        summary = found.select(
+            "orig_h",
+            F.col("n").alias("total"),
+            F.col("hosts").alias("uniq_hosts"),
+            F.col("ports").alias("uniq_ports"),
+            ratio(F.col("fails"), F.col("n")).alias("fail_ratio"),
         )
         hosts, ports = F.col("uniq_hosts"), F.col("uniq_ports")
         level = severity(
@@ -210,12 +213,11 @@ def bruteforce(flows: DataFrame, cfg: BruteConfig = BruteConfig()) -> Detection:
     return Detection("bruteforce", tcp, [unbroken, *counted], alerts)
 
 
-def _victim_alerts(hits: DataFrame, kind: str, short: int, long: int, **extra: Column) -> DataFrame:
+def _victim_alerts(hits: DataFrame, kind: str, short: int, long: int, **extra: str) -> DataFrame:
     """One alert per victim, graded by the number of distinct sources among the hits."""
-    summary = hits.groupBy("resp_h").agg(
-        r.rows_total().alias("total"),
-        r.distinct_sources().alias("uniq_src"),
-        *[stat.alias(name) for name, stat in extra.items()],
+    found = r.exact_statistics(hits, ["resp_h"], ["n", "sources", *extra.values()])
+    summary = found.select(
+        "resp_h", F.col("n").alias("total"), F.col("sources").alias("uniq_src"), *[F.col(stat).alias(name) for name, stat in extra.items()]
     )
     sources = F.col("uniq_src")
     return _alerts(summary, kind, severity(sources >= long, sources >= short), target_ip="resp_h")
@@ -401,7 +403,7 @@ def ddos(flows: DataFrame, cfg: DdosConfig = DdosConfig()) -> Detection:
             "ddos",
             cfg.victim_unique_src_threshold_short,
             cfg.victim_unique_src_threshold_long,
-            uniq_pairs=r.distinct_source_ports(),
+            uniq_pairs="source_ports",
         )
 
     return Detection("ddos", scoped, scopes, alerts)
@@ -461,7 +463,7 @@ def read_window(
     recent = flows.where(ts >= moment(as_of) - seconds)
     if max_rows is None:
         return recent
-    return recent.orderBy(ts.desc(), F.col("uid").desc()).limit(max_rows)
+    return newest(recent, ts, [F.col("uid").desc()], max_rows)
 
 
 def run_rules(

@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -141,25 +140,60 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))
 
 
-# The statistics a scope can ask for, over rollup rows.
-STATISTICS: dict[str, Callable[[], Column]] = {
-    "n": rows_total,
-    "fails": fails_total,
-    "successes": successes_total,
-    "syn": lambda: F.sum("syn"),
-    "orig_pkts": lambda: F.sum("orig_pkts"),
-    "resp_pkts": lambda: F.sum("resp_pkts"),
-    "duration": lambda: F.sum("duration"),
-    "orig_bytes": lambda: F.sum("orig_bytes"),
-    "resp_bytes": lambda: F.sum("resp_bytes"),
-    "hosts": distinct_hosts,
-    "ports": distinct_ports,
-    "pairs": distinct_targets,
-    "sources": distinct_sources,
-    "source_ports": distinct_source_ports,
+# The statistics a scope can ask for, over rollup rows: sums, and counts of different values.
+SUMMED = ("n", "fails", "successes", "syn", "orig_pkts", "resp_pkts", "duration", "orig_bytes", "resp_bytes")
+DISTINCT = {
+    "hosts": ("resp_h",),
+    "ports": ("resp_p",),
+    "pairs": ("resp_h", "resp_p"),
+    "sources": ("orig_h",),
+    "source_ports": ("orig_h", "resp_p"),
 }
 
 
+def exact_statistics(rows: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``names`` (of SUMMED and DISTINCT) per group of ``keys``, with exact counts of different values.
+
+    The group's sets of values are rows, and sets are merged by grouping them again: one row per key and pair, then
+    one per key and host, then one per key. A row counts in every later step, so sums go along and no row is
+    copied. A set that is not part of a larger one goes its own way and meets the others by key. Every step
+    combines before its shuffle, and a hot key is in one task only when it is a single row per task.
+    """
+    sums = [name for name in names if name in SUMMED]
+    sets = sorted((name for name in names if name in DISTINCT), key=lambda x: -len(DISTINCT[x]))
+    chain: list[str] = []
+    for name in sets:
+        if not chain or set(DISTINCT[name]) < set(DISTINCT[chain[-1]]):
+            chain.append(name)
+    groups, counted = rows, []
+    for name in chain:
+        carried = [F.sum(c).alias(c) for c in (*sums, *counted)]
+        groups = groups.groupBy(*keys, *DISTINCT[name]).agg(*(carried or [F.lit(1).alias("_")]))
+        groups, counted = groups.withColumn(name, F.lit(1).cast("bigint")), [*counted, name]
+    groups = groups.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in (*sums, *counted)])
+    for name in sets:
+        if name not in chain:
+            alone = rows.groupBy(*keys, *DISTINCT[name]).agg(F.lit(1).alias("_"))
+            groups = groups.join(alone.groupBy(*keys).agg(F.count("*").alias(name)), list(keys))
+    return groups.select(*keys, *names)
+
+
+def slot_sketches(rows: DataFrame, keys: Sequence[str], names: Sequence[str], precision: int = 14) -> DataFrame:
+    """Mergeable estimates: a sketch of each set of ``names`` (of DISTINCT) per key and slot, and the slot's ``n``.
+
+    Stored beside the rollup they stand for its flows: any window is their union, so it can be evaluated again, or
+    at another width, when the flows are gone. A sketch has at most 2**``precision`` registers, whatever it counts.
+    """
+    sketches = [F.hll_sketch_agg(F.concat_ws("\t", *[F.col(c).cast("string") for c in DISTINCT[name]]), precision).alias(name) for name in names]
+    return rows.groupBy(*keys, "slot").agg(F.sum("n").alias("n"), *sketches)
+
+
+def window_estimates(sketches: DataFrame, keys: Sequence[str], names: Sequence[str], seconds: int) -> DataFrame:
+    """n and the estimated counts per key and window of ``seconds``, from stored ``slot_sketches``."""
+    merged = [F.hll_sketch_estimate(F.hll_union_agg(name)).alias(name) for name in names]
+    return sketches.groupBy(*keys, flow.rebin("slot", seconds).alias("bin")).agg(F.sum("n").alias("n"), *merged)
+
+
 @dataclass(frozen=True)
 class Scope:
     """Statistics of one key in the short or the long window.
@@ -194,25 +228,14 @@ def group_statistics(rows: DataFrame, keys: Sequence[str], stats: dict[str, Colu
     return rows.groupBy(*keys).agg(*[stat.alias(name) for name, stat in stats.items()])
 
 
-def _kept_groups(label: str, rows: DataFrame, scopes: Sequence[Scope]) -> DataFrame:
-    """The kept groups of scopes that share a key: one pass for the short and long window."""
-    keys = scopes[0].keys
-    stats = list(dict.fromkeys(name for scope in scopes for name in scope.stats))
-    windows = [
-        F.struct(F.lit(scope.name).alias("scope"), F.col(scope.bin).alias("bin")) for scope in scopes
-    ]
-    spread = rows.withColumn("window", F.explode(F.array(*windows))).select("*", "window.*")
-    groups = group_statistics(
-        spread, ["scope", *keys, "bin"], {name: STATISTICS[name]() for name in stats}
-    )
-    kept = groups.where(
-        reduce(or_, [(F.col("scope") == scope.name) & scope.keep for scope in scopes])
-    )
-    return kept.select(
-        F.concat(F.lit(f"{label}."), "scope").alias("scope"),
-        *keys,
+def _kept_groups(label: str, rows: DataFrame, scope: Scope) -> DataFrame:
+    """The kept groups of a scope."""
+    groups = exact_statistics(rows.withColumn("bin", F.col(scope.bin)), [*scope.keys, "bin"], scope.stats)
+    return groups.where(scope.keep).select(
+        F.lit(f"{label}.{scope.name}").alias("scope"),
+        *scope.keys,
         "bin",
-        *[F.col(name).cast("double").alias(name) for name in stats],
+        *[F.col(name).cast("double").alias(name) for name in scope.stats],
     )
 
 
@@ -225,12 +248,7 @@ def run_detections(
     scope: one job computes them side by side, and the size of each scope's files decides
     whether its join is broadcast.
     """
-    parts = []
-    for found in detections:
-        by_keys: dict[tuple, list[Scope]] = {}
-        for scope in found.scopes:
-            by_keys.setdefault(tuple(scope.keys), []).append(scope)
-        parts += [_kept_groups(found.label, found.rows, scopes) for scopes in by_keys.values()]
+    parts = [_kept_groups(found.label, found.rows, scope) for found in detections for scope in found.scopes]
     groups = staging.table(
         reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts),
         "kept-groups",

@@ -23,6 +23,12 @@ BRUTE_OFF_FOCUS = dataclasses.replace(
     FIXTURE.brute, require_focus_for_trigger=False, off_focus_multiplier=2.5, ports_focus=(22, 23),
     services_focus=("ssl",), exclude_ports=(3389,),
 )
+# Same thresholds, but some sources and targets are allowed: they count in all statistics and are in no hit.
+ICMP_ALLOWED = dataclasses.replace(
+    FIXTURE.icmp_flood, src_ip_whitelist=("10.0.0.10", "45.33.0.6", "10.0.0.3"), dst_ip_whitelist=("192.168.1.7", "8.8.4.8")
+)
+#: Rows that the newest-rows run of the rules reads.
+NEWEST = 3000
 DDOS_REFLECTION = dataclasses.replace(
     FIXTURE.ddos,
     s0_ratio_threshold=1.01, syn_noack_mean_threshold=1.01,
@@ -85,6 +91,13 @@ def _rules_all(spark: SparkSession, folder: str) -> DataFrame:
     return readable(alerts.withColumn("ts_generated", F.round("ts_generated", 3)))
 
 
+def _rules_newest(spark: SparkSession, folder: str) -> DataFrame:
+    """The rules over the newest rows only."""
+    flows = load_flows(spark, folder)
+    alerts = d.run_rules(flows, FIXTURE, d.latest(flows), look_back=WHOLE_RANGE, max_rows=NEWEST, staging=Staging(spark))
+    return readable(alerts.withColumn("ts_generated", F.round("ts_generated", 3)))
+
+
 def _rules_window(spark: SparkSession, folder: str) -> DataFrame:
     flows = load_flows(spark, folder)
     alerts = d.run_rules(flows, FIXTURE, d.latest(flows), staging=Staging(spark))
@@ -143,6 +156,23 @@ def _approx_distinct(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _sketch_windows(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows from stored sketches of day slots, beside the exact counts; the sketches are all that is read again."""
+    base, staging = _rollup(spark, folder)
+    names = ("sources", "source_ports")
+    stored = staging.table(r.slot_sketches(base, ["resp_h"], names), "sketches")
+    near = r.window_estimates(stored, ["resp_h"], names, WEEK).withColumnsRenamed({x: f"{x}_near" for x in names})
+    rows = r.with_windows(base, DAY, WEEK).withColumn("bin", F.col("long_bin"))
+    exact = r.exact_statistics(rows, ["resp_h", "bin"], names)
+
+    def close(name: str) -> Column:
+        return F.abs(F.col(f"{name}_near") - F.col(name)) <= F.greatest(0.05 * F.col(name), F.lit(1.0))
+
+    return near.join(exact, ["resp_h", "bin"]).select(
+        "resp_h", "bin", "n", "sources", "source_ports", *[close(x).alias(f"{x}_close") for x in names]
+    )
+
+
 def _rollup_query(spark: SparkSession, folder: str) -> DataFrame:
     rows = r.rollup(load_flows(spark, folder), DAY)
     return rows.select(
@@ -186,6 +216,9 @@ QUERIES = {
     "pps_reply_ratio": _pps_reply_ratio,
     "byte_ratio": _byte_ratio,
     "approx_distinct": _approx_distinct,
+    "sketch_windows": _sketch_windows,
+    "icmp_allowed": _detector(d.icmp_flood, ICMP_ALLOWED, ["target_ip", "total", "uniq_src", *_ALERT]),
+    "rules_newest": _rules_newest,
     "port_scan": _detector(
         d.port_scan, FIXTURE.scan,
         ["attacker_ip", "total", "uniq_hosts", "uniq_ports", "fail_ratio", *_ALERT],
@@ -304,6 +337,8 @@ def _victim_sql(kind: str, short: int, long: int, extra: str = "") -> str:
 
 def icmp_flood_sql(c) -> str:
     echo = "AND echo" if c.enforce_echo_like else ""
+    listed = [f"t.{name} NOT IN {_in(x)}" for name, x in (("orig_h", c.src_ip_whitelist), ("resp_h", c.dst_ip_whitelist)) if x]
+    allowed = "".join(f" AND {x}" for x in listed)
     return f"""
   t AS (SELECT * FROM rows_ WHERE (proto = 'icmp' OR coalesce(lower(service) = 'icmp', false)) {echo}),
   ss AS (SELECT orig_h, sb, count(*) AS n, sum(orig_pkts) / greatest(sum(duration), 1.0) AS pps,
@@ -316,11 +351,11 @@ def icmp_flood_sql(c) -> str:
   hit AS (SELECT t.* FROM t JOIN ss USING (orig_h, sb) JOIN sl USING (orig_h, lb)
           JOIN ps USING (orig_h, resp_h, sb) JOIN pl USING (orig_h, resp_h, lb)
           JOIN vs USING (resp_h, sb) JOIN vl USING (resp_h, lb)
-          WHERE ss.n >= {c.src_total_threshold_short} OR sl.n >= {c.src_total_threshold_long}
+          WHERE (ss.n >= {c.src_total_threshold_short} OR sl.n >= {c.src_total_threshold_long}
              OR ps.n >= {c.pair_threshold_short} OR pl.n >= {c.pair_threshold_long}
              OR vs.n >= {c.victim_total_threshold_short} OR vs.s >= {c.victim_unique_src_threshold_short}
              OR vl.n >= {c.victim_total_threshold_long} OR vl.s >= {c.victim_unique_src_threshold_long}
-             OR (ss.pps >= {c.pps_threshold_short} AND ss.rr <= {c.reply_ratio_max})),
+             OR (ss.pps >= {c.pps_threshold_short} AND ss.rr <= {c.reply_ratio_max})){allowed}),
   {_victim_sql("icmp_flood", c.victim_unique_src_threshold_short, c.victim_unique_src_threshold_long)}"""
 
 
@@ -464,6 +499,11 @@ ORACLE = {
   FROM t, m WHERE ts >= newest - {FIXTURE.fast_scan.window_seconds} GROUP BY orig_h, resp_h
   HAVING count(DISTINCT resp_p) >= {FIXTURE.fast_scan.min_ports}""",
     "rules_all": rules_union_sql("SELECT * FROM flows"),
+    "icmp_allowed": _with_rows(icmp_flood_sql(ICMP_ALLOWED)),
+    "rules_newest": rules_union_sql(f"SELECT * FROM (SELECT * FROM flows ORDER BY ts DESC, uid DESC LIMIT {NEWEST})"),
+    "sketch_windows": f"""WITH {DUCKDB_FLOWS} SELECT resp_h, CAST(floor(ts / {WEEK}) AS BIGINT) * {WEEK} AS bin, count(*) AS n,
+      count(DISTINCT orig_h) AS sources, count(DISTINCT (orig_h, resp_p)) AS source_ports,
+      TRUE AS sources_close, TRUE AS source_ports_close FROM flows GROUP BY ALL""",
     "rules_window": rules_union_sql(
         f"SELECT * FROM flows WHERE ts >= (SELECT max(ts) FROM flows) - {FIXTURE.look_back_seconds()}"
     ),

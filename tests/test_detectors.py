@@ -8,6 +8,7 @@ import pytest
 
 from flowvigil.config import FIXTURE, LAB, DdosConfig, DnsConfig, FastScanConfig, IcmpConfig, ScanConfig, BruteConfig
 from flowvigil.operators import detectors as d, rollup as r
+from flowvigil.plans.sample_flows import load_flows
 from flowvigil.schema import FAIL_STATES, SUCCESS_STATES
 
 COLUMNS = (
@@ -285,3 +286,38 @@ def test_windows_must_be_multiples_of_the_slot(spark):
     with pytest.raises(ValueError):
         r.with_windows(rows, 20, 60)
     assert r.with_windows(rows, 60, 90).count() == 1
+
+
+def test_statistics_copy_no_rows_and_are_exact(spark):
+    """Exact counts of different values without Expand or Generate, against plain sets."""
+    rng = random.Random(3)
+    rows = [(f"s{rng.randrange(3)}", f"d{rng.randrange(6)}", rng.randrange(8), 60 * rng.randrange(3), rng.randrange(1, 4), 1) for _ in range(400)]
+    df = spark.createDataFrame(rows, "orig_h string, resp_h string, resp_p int, slot bigint, n bigint, fails bigint")
+    found = r.exact_statistics(df, ["orig_h", "slot"], ["n", "fails", "hosts", "ports", "pairs"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "Generate" not in plan
+    for g in found.collect():
+        own = [x for x in rows if (x[0], x[3]) == (g.orig_h, g.slot)]
+        assert (g.n, g.fails) == (sum(x[4] for x in own), len(own))
+        assert (g.hosts, g.ports, g.pairs) == (len({x[1] for x in own}), len({x[2] for x in own}), len({x[1:3] for x in own}))
+    assert r.exact_statistics(df, ["orig_h"], ["ports"]).count() == 3
+    assert r.exact_statistics(df.limit(0), ["orig_h"], ["n", "hosts", "ports"]).count() == 0
+
+
+def test_detectors_copy_no_rows(spark):
+    flows = load_flows(spark, "/root/testdata/sf0.001")
+    base = r.rollup(flows, FIXTURE.slot_seconds())
+    for detection in (d.port_scan(base, FIXTURE.scan), d.ddos(base, FIXTURE.ddos)):
+        plan = d.detect(detection)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan and "Generate" not in plan
+
+
+def test_windows_from_sketches(spark):
+    """Sketches of slots give any window, with the flows gone."""
+    rows = [(f"v{i % 2}", f"h{i % 700}", 60 * (i % 30), 1) for i in range(6000)]
+    df = spark.createDataFrame(rows, "resp_h string, orig_h string, slot bigint, n bigint")
+    sketches = r.slot_sketches(df, ["resp_h"], ["sources"])
+    for seconds in (60, 600, 1800):
+        for g in r.window_estimates(sketches, ["resp_h"], ["sources"], seconds).collect():
+            own = {x[1] for x in rows if x[0] == g.resp_h and x[2] // seconds * seconds == g.bin}
+            assert abs(g.sources - len(own)) <= 0.05 * len(own) + 1
