@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from flowvigil.config import FALLBACK_THRESHOLD, MergeConfig
 from flowvigil.functions.coercion import number_or_null, text_or
 from flowvigil.operators.detectors import moment
+from flowvigil.operators.ordering import newest
 from flowvigil.operators.prepare import ensure_columns
 from flowvigil.schema import MERGED_ALERT
 
@@ -60,8 +61,9 @@ def newest_rows(df: DataFrame, max_rows: int) -> DataFrame:
     column = time_column(df)
     if not max_rows:
         return df
-    first = [number_or_null(column).desc_nulls_last()] if column else []
-    return df.orderBy(*first, *[F.col(c) for c in df.columns if c != column]).limit(max_rows)
+    if not column:
+        return df.orderBy(*[F.col(c) for c in df.columns]).limit(max_rows)
+    return newest(df, number_or_null(column), [F.col(c) for c in df.columns if c != column], max_rows)
 
 
 def _merge_shape(df: DataFrame) -> DataFrame:

@@ -27,14 +27,16 @@ def browse_alerts(
 ) -> DataFrame:
     """The newest merged alerts of at least a severity; no sources means every source.
 
-    Absent text shows as ''; columns that the alerts lack are NULL.
+    The last merged come first, and of those the newest flows. Absent text shows as ''; columns that the alerts
+    lack are NULL.
     """
     rows = ensure_columns(clean_alerts(alerts), MERGED_ALERT).withColumn("ts_merged", F.col("alert_ts"))
     wanted = severity_rank("severity") >= SEVERITIES.index(min_severity)
     if sources:
         wanted &= in_set("source", tuple(s.lower() for s in sources))
     shown = rows.where(wanted).select(*ALERT_COLUMNS)
-    return shown.orderBy(F.desc("ts_merged"), *[c for c in ALERT_COLUMNS if c != "ts_merged"]).limit(limit)
+    rest = [c for c in ALERT_COLUMNS if c not in ("ts_merged", "ts")]
+    return shown.orderBy(F.desc("ts_merged"), F.desc("ts"), *rest).limit(limit)
 
 
 def recent_bans(log: DataFrame, tail: int = 400, limit: int = 10) -> DataFrame:

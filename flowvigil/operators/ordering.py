@@ -67,6 +67,31 @@ def with_row_number(
     return running_totals(counted, order, {name: "_one"}, staging, "row-number").drop("_one")
 
 
+def newest(df: DataFrame, time: Column, ties: Sequence[Column], n: int) -> DataFrame:
+    """The ``n`` rows of the latest ``time`` (seconds); rows without one come last, and ``ties`` decide among equals.
+
+    Counts per day, then per second of one day, tell the second in which the n-th row lies. All later rows are kept
+    where they are; only that second is sorted, so no task holds more rows than a second has.
+    """
+    rows = df.withColumn("_time", time).withColumn("_second", F.floor("_time"))
+    left, low, high = n, None, None
+    for unit in (86_400, 1):
+        inside = rows if low is None else rows.where((F.col("_second") >= low) & (F.col("_second") < high))
+        counts = inside.where(F.col("_second").isNotNull()).groupBy(F.floor(F.col("_second") / unit).alias("at")).agg(F.count("*").alias("n"))
+        # One row per day, or per second of a day.
+        upto = Window.orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cut = counts.withColumn("upto", F.sum("n").over(upto)).where(F.col("upto") >= left).orderBy(F.desc("at")).first()
+        if cut is None:
+            dated = rows.where(F.col("_second").isNotNull())
+            held = dated.count()
+            undated = rows.where(F.col("_second").isNull()).orderBy(*ties).limit(n - held)
+            return dated.unionByName(undated).drop("_time", "_second")
+        left -= cut["upto"] - cut["n"]
+        low, high = cut["at"] * unit, (cut["at"] + 1) * unit
+    last = rows.where(F.col("_second") == low).orderBy(F.desc("_time"), *ties).limit(left)
+    return rows.where(F.col("_second") > low).unionByName(last).drop("_time", "_second")
+
+
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], staging: Staging
 ) -> DataFrame:

@@ -59,14 +59,10 @@ def whitelist(
 
 
 def ban_candidates(selected: DataFrame, cfg: BanConfig, allowed: DataFrame) -> DataFrame:
-    """Attackers by number of alerts, at most ``ban_limit`` of them; ties go by address.
-
-    Text that is not an address is left out before the limit, so it takes no one's place.
-    """
+    """Attackers with enough alerts that are addresses and not allowed, with their number of alerts."""
     counts = selected.groupBy(F.col("attacker_ip").alias("ip")).agg(F.count("*").alias("n_rows"))
     proven = counts.where((F.col("n_rows") >= max(1, cfg.proof_min)) & is_valid_ip("ip"))
-    ranked = proven.join(allowed, "ip", "left_anti").orderBy(F.desc("n_rows"), "ip")
-    return ranked.limit(cfg.ban_limit) if cfg.ban_limit else ranked
+    return proven.join(allowed, "ip", "left_anti")
 
 
 def ban_decisions(
@@ -76,7 +72,11 @@ def ban_decisions(
     cfg: BanConfig = BanConfig(),
     allowed: DataFrame | None = None,
 ) -> DataFrame:
-    """Addresses to block now: candidates whose last ban is at least one cooldown ago."""
+    """Addresses to block now: candidates whose last ban is at least one cooldown ago.
+
+    Those with most alerts come first, ties by address, and ``ban_limit`` of them are blocked at most. Neither an
+    address that cools down nor text that is no address takes the place of one that is due.
+    """
     if allowed is None:
         allowed = whitelist(alerts.sparkSession)
     candidates = ban_candidates(select_alerts(alerts, cfg, as_of), cfg, allowed)
@@ -84,6 +84,8 @@ def ban_decisions(
     due = candidates.join(state, "ip", "left").where(
         moment(as_of) - last >= max(0, cfg.cooldown_seconds)
     )
+    if cfg.ban_limit:
+        due = due.orderBy(F.desc("n_rows"), "ip").limit(cfg.ban_limit)
     return due.select(
         "ip",
         "n_rows",
@@ -93,15 +95,21 @@ def ban_decisions(
     )
 
 
-def updated_state(state: DataFrame, decisions: DataFrame, dry_run: bool = False) -> DataFrame:
-    """Last ban time per address after the decisions; a dry run leaves the state as it is."""
+def updated_state(
+    state: DataFrame, decisions: DataFrame, dry_run: bool = False, expired: float | Column | None = None
+) -> DataFrame:
+    """Last ban time per address after the decisions; a dry run leaves the state as it is.
+
+    Bans at or before ``expired`` are forgotten: once the cooldown is over they hold nobody back.
+    """
     if dry_run:
         return state
     added = decisions.select("ip", F.col("added_ts").alias("last_added_ts"))
-    return (
+    last = (
         state.select(*BAN_STATE.names).unionByName(added)
         .groupBy("ip").agg(F.max("last_added_ts").alias("last_added_ts"))
     )
+    return last if expired is None else last.where(F.col("last_added_ts") > moment(expired))
 
 
 def ban_log(decisions: DataFrame) -> DataFrame:

@@ -143,15 +143,16 @@ _DECIDED = f"""cand AS (SELECT attacker_ip AS ip, count(*) AS n_rows FROM rules,
   WHERE ts_generated >= now - {BANS.since_seconds} AND lower(trim(severity)) IN ('med', 'high') AND type <> 'none'
     AND attacker_ip IS NOT NULL AND attacker_ip <> 'nan'
     AND attacker_ip NOT IN ('127.0.0.1', '::1', '10.0.0.9', '10.0.0.17', '45.33.0.1')
-  GROUP BY ALL HAVING count(*) >= {BANS.proof_min} ORDER BY n_rows DESC, ip LIMIT {BANS.ban_limit}),
+  GROUP BY ALL HAVING count(*) >= {BANS.proof_min}),
 decided AS (SELECT ip, n_rows, now AS added_ts, now + {BANS.block_seconds} AS expires_ts, 'ml_blacklist' AS set_name
-  FROM cand LEFT JOIN state USING (ip), clock WHERE now - coalesce(last, 0) >= {BANS.cooldown_seconds})"""
+  FROM cand LEFT JOIN state USING (ip), clock WHERE now - coalesce(last, 0) >= {BANS.cooldown_seconds}
+  ORDER BY n_rows DESC, ip LIMIT {BANS.ban_limit})"""
 
-# All alerts carry one stamp, so the other columns, in the order shown, decide.
+# All alerts carry one stamp: the newest flow first, then the other columns in the order shown.
 _BROWSED = """SELECT round(ts, 6) AS ts, round(now, 6) AS ts_merged, source, coalesce(type, '') AS type,
   lower(trim(coalesce(severity, ''))) AS severity, coalesce(attacker_ip, '') AS attacker_ip, coalesce(target_ip, '') AS target_ip,
   proto, service, resp_p, margin, p_cal FROM merged, clock"""
-_BROWSE_ORDER = """merged.ts, source, coalesce(type, ''), lower(trim(coalesce(severity, ''))), coalesce(attacker_ip, ''),
+_BROWSE_ORDER = """merged.ts DESC, source, coalesce(type, ''), lower(trim(coalesce(severity, ''))), coalesce(attacker_ip, ''),
   coalesce(target_ip, ''), proto, service, resp_p, margin, p_cal"""
 
 ORACLE = {

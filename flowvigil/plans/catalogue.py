@@ -8,6 +8,7 @@ MODULES = (
     "rule_queries",
     "alert_queries",
     "model_queries",
+    "store_queries",
 )
 
 

@@ -19,15 +19,14 @@ BATCH = T.StructField("batch", T.LongType())
 def append_batch(
     df: DataFrame, path: str, batch: int, time_column: str, partition_by: Sequence[str] = ()
 ) -> None:
-    """Append one numbered batch to a small table, partitioned by event date.
+    """Append one numbered batch to a table with a folder per event date and batch.
 
-    Each batch owns a folder and replaces it when it runs again, so a retried batch never
-    shows twice.
+    A batch that runs again, with other rows or other times too, replaces what it wrote before. Days come first, so
+    a reader of recent rows lists the folders of recent days only.
     """
-    dated = df.withColumn("event_date", F.to_date(epoch_to_timestamp(time_column)))
-    dated.write.mode("overwrite").partitionBy("event_date", *partition_by).parquet(
-        f"{path}/batch={batch}"
-    )
+    for old in _folders(df.sparkSession, f"{path}/event_date=*/batch={batch}"):
+        _delete(df.sparkSession, old)
+    append_by_day(df, path, batch, time_column, partition_by)
 
 
 def append_by_day(
@@ -76,6 +75,11 @@ def read_since(
     return rows.where((F.col("event_date") >= first_day) & (F.col(time_column) >= since))
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _folders(spark: SparkSession, pattern: str) -> list[str]:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -83,7 +87,12 @@ def _folders(spark: SparkSession, pattern: str) -> list[str]:
 
 
 class BanState:
-    """Last ban time per address as numbered versions; a reader sees only complete ones."""
+    """Last ban time per address as numbered versions; a reader sees only complete ones.
+
+    The last ``KEEP`` versions stay, so a batch that runs again finds the state before it.
+    """
+
+    KEEP = 10
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
@@ -101,6 +110,9 @@ class BanState:
         state.select(*BAN_STATE.names).write.mode("overwrite").parquet(
             f"{self.path}/version={version}"
         )
+        for old in _folders(self.spark, f"{self.path}/version=*"):
+            if int(old.rsplit("=", 1)[1]) <= version - self.KEEP:
+                _delete(self.spark, old)
 
 
 def write_report(df: DataFrame, path: str) -> None:

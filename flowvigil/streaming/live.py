@@ -112,7 +112,7 @@ def process_batch(run: LiveRun, flows: DataFrame, batch: int) -> None:
     )
     append_batch(decisions, run.path("bans"), batch, "added_ts")
     decided = run.table(spark, "bans").where(fresh)
-    store.save(response.updated_state(state, decided), batch)
+    store.save(response.updated_state(state, decided, expired=now - run.ban.cooldown_seconds), batch)
 
 
 def start_live(

@@ -119,14 +119,36 @@ def test_profile_nulls(spark):
     assert [(r.column_name, r.null_rate) for r in profile.null_rates(df).collect()] == [("b", 0.6667), ("a", 0.3333)]
 
 
-def test_type_weights_come_from_the_training_rows(spark, monkeypatch):
+def test_type_weights_come_from_the_training_rows(spark):
     from flowvigil.operators import learning
 
-    seen = []
-    monkeypatch.setattr(learning.GBTClassifier, "fit", lambda self, df: seen.append(df.collect()))
     rows = [(0, 1, "a")] * 4 + [(0, 1, "b")] * 2 + [(1, 1, "b")] * 50 + [(0, 0, "none")] * 3 + [(1, 0, "none")]
     frame = spark.createDataFrame(rows, "fold int, y_bin int, attack_type string")
-    learning.train_fold(frame, 1)
-    weights = {(r.attack_type, r.held_out): r.type_weight for r in seen[0]}
+    train, held_out = learning.weighted_split(frame, 1)
     # Median of 4 and 2 is 3; the 50 rows of the other fold don't count.
-    assert weights == {("a", False): 0.75, ("b", False): 1.5, ("none", False): 1.0, ("b", True): 1.0, ("none", True): 1.0}
+    assert {r.attack_type: r.type_weight for r in train.collect()} == {"a": 0.75, "b": 1.5, "none": 1.0}
+    assert held_out.count() == 51 and {r.weight for r in held_out.collect()} == {1.0}
+
+
+def test_patience():
+    from flowvigil.operators.learning import stopped
+
+    assert stopped([5, 4, 3, 4, 4, 4, 1], 3) == (3, 6)  # ends before it could see the 1
+    assert stopped([5, 4, 3, 4, 4, 2, 1], 3) == (7, 7)
+    assert stopped([1, 1, 1], 5) == (1, 3)
+    assert stopped([2, 1, 1, 1], 2) == (2, 4)
+
+
+def test_newest_rows_without_one_task(spark):
+    from flowvigil.operators.ordering import newest
+
+    rng = random.Random(7)
+    times = [None, -5.5, 0.0, *[rng.choice([1.0, 86_399.2, 86_400.0, 86_400.7, 200_000.0, 200_000.1, 1e9]) for _ in range(60)]]
+    rows = [(t, i) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "ts double, id int").repartition(5)
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), -r[1]))
+    for n in (1, 2, 7, 30, 61, 62, 63, 100):
+        found = newest(df, F.col("ts"), [F.col("id").desc()], n)
+        assert found.columns == df.columns
+        assert sorted((r.id for r in found.collect())) == sorted(i for _, i in ordered[:n]), n
+    assert newest(df.limit(0), F.col("ts"), [F.col("id").desc()], 3).count() == 0
