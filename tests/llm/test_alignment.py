@@ -43,10 +43,11 @@ class Plain:
                 if ends_b[j] - len(bytes_b[j]) >= ends_a[i]:
                     break
                 links.append((x, b[j]))
-        cuts, groups = sorted(set(ends_a) & set(ends_b)), []
-        for low, high in zip([0, *cuts], cuts):
-            own_a = ",".join(str(x) for x, e in zip(a, ends_a) if low < e <= high)
-            groups.append(own_a + "|" + ",".join(str(x) for x, e in zip(b, ends_b) if low < e <= high))
+        groups, i, j = [], 0, 0
+        for cut in sorted(set(ends_a) & set(ends_b)):
+            i_end, j_end = np.searchsorted(ends_a, cut, "right"), np.searchsorted(ends_b, cut, "right")
+            groups.append(",".join(map(str, a[i:i_end])) + "|" + ",".join(map(str, b[j:j_end])))
+            i, j = i_end, j_end
         return len(a), len(b), len(groups), links, hashlib.sha256(";".join(groups).encode()).hexdigest()
 
 
