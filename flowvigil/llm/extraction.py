@@ -74,7 +74,8 @@ PATH_BUCKETS, WORD_BUCKETS = 1 << 11, 1 << 12
 PATH_WIDTH, WORD_WIDTH, RATIOS, HIDDEN = 12, 8, 5, 12
 #: Pages that the labeller is fitted on at most, and the largest such page in characters and blocks.
 FIT_PAGES, FIT_CHARS, FIT_BLOCKS = 200, 100_000, 120
-COMPOSED = 3
+#: Composed pages for each given page, and in all at least.
+COMPOSED, COMPOSED_LEAST = 3, 600
 EPOCHS, BATCH = 24, 32
 REMEMBERED = 200_000
 #: Blocks labelled in one padded batch, about.
@@ -475,10 +476,14 @@ def composed(texts: list[str], rng: random.Random) -> str:
         return opened + (f"<tr><td>{inner}</td></tr>" if tag == "table" else inner) + f"</{tag}>"
 
     page = some(BEFORE, 4), wrapped(within, 0.3), some(AFTER, 4)
-    page = page if rng.random() < 0.9 else ("", page[1], "")
+    # Some pages are an article and nothing else.
+    page = page if rng.random() < 0.75 else ("", within, "")
     whole = wrapped(page[0] + wrapped(page[1] + page[2], 0.3), 0.3)
+    if rng.random() < 0.2:
+        return whole
     attributes = f" class='{setup()}'" if rng.random() < 0.5 else ""
-    return f"<title>{texts[0]}</title><body{attributes}>{whole}</body>"
+    made = f"<title>{texts[0]}</title><body{attributes}>{whole}</body>"
+    return f"<html>{made}</html>" if rng.random() < 0.5 else made
 
 
 #: Blocks of an article beside paragraphs and headings: of the whole text, or of its halves.
@@ -499,8 +504,17 @@ def fit(pages: DataFrame, staging: Staging, html_column: str = "html", id_column
     )
     keys = staging.table(usable.select("place").orderBy("place").limit(FIT_PAGES), "fit-pages")
     sample = sorted(r.html for r in usable.join(keys, "place", "left_semi").dropDuplicates(["place"]).collect())
+    labeller, (encoded, labels) = Labeller(), training_pages(sample)
+    if encoded:
+        labeller.train(encoded, labels)
+    return labeller
+
+
+def training_pages(sample: list[str]) -> tuple[list[Encoded], list[np.ndarray]]:
+    """The given pages that mark their article, and pages composed of all their texts, with labels."""
     rng, encoded, labels = random.Random(3), [], []
     filler = ["A page with some words that stand for a text.", "It has a second sentence, and then a third one."]
+    each = max(COMPOSED, -(-COMPOSED_LEAST // max(1, len(sample))))
     for given in sample or ["<p>" + x for x in filler]:
         found = leaves(given)
         if not found or len(found) > FIT_BLOCKS:
@@ -510,14 +524,11 @@ def fit(pages: DataFrame, staging: Staging, html_column: str = "html", id_column
             encoded.append(encode(found))
             labels.append(own)
         texts = [x.text for x, good in zip(found, own) if good] if own is not None else []
-        for _ in range(COMPOSED):
+        for _ in range(each):
             made = leaves(composed(texts or filler, rng))
             encoded.append(encode(made))
             labels.append(np.array([x.gold for x in made]))
-    labeller = Labeller()
-    if encoded:
-        labeller.train(encoded, labels)
-    return labeller
+    return encoded, labels
 
 
 def extract(
