@@ -37,7 +37,7 @@ def test_stages_take_odd_tables(spark, tmp_path, make):
 
 def test_all_queries_are_registered():
     names = __spark_entry__.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(queries.ORACLE) <= set(__spark_entry__.oracle_sql())
 
