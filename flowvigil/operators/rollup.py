@@ -115,26 +115,10 @@ def successes_total() -> Column:
     return F.sum("successes")
 
 
-def distinct_hosts() -> Column:
-    return F.countDistinct("resp_h")
-
-
 def distinct_ports() -> Column:
     return F.countDistinct("resp_p")
 
 
-def distinct_targets() -> Column:
-    return F.countDistinct("resp_h", "resp_p")
-
-
-def distinct_sources() -> Column:
-    return F.countDistinct("orig_h")
-
-
-def distinct_source_ports() -> Column:
-    return F.countDistinct("orig_h", "resp_p")
-
-
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Quotient, 0 when the denominator is 0."""
     return F.coalesce(F.try_divide(numerator.cast("double"), denominator.cast("double")), F.lit(0.0))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import dataclasses
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -67,10 +66,14 @@ def readable(alerts: DataFrame) -> DataFrame:
     return alerts.select(*shown)
 
 
-def _statistics(keys: list[str], stats: Callable[[], dict[str, Column]], where: str = "proto = 'tcp'"):
+def _statistics(keys: list[str], names: list[str], where: str = "proto = 'tcp'", **shown: str):
+    """Exact statistics per key and window; ``shown`` has the SQL text of columns beside them."""
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
         rows = r.with_windows(r.rollup(load_flows(spark, folder), DAY), DAY, WEEK).where(where)
-        return r.group_statistics(rows, keys, stats())
+        found = r.exact_statistics(rows, keys, names)
+        kept = [x for x in names if x not in ("syn", "source_ports")]
+        return found.select(*keys, *kept, *[F.expr(text).alias(name) for name, text in shown.items()])
 
     return run
 
@@ -191,27 +194,14 @@ _ALERT = ["type", "severity"]
 QUERIES = {
     "flow_rollup": _rollup_query,
     "stat_src_short": _statistics(
-        ["orig_h", "short_bin"],
-        lambda: {
-            "n": r.rows_total(), "fails": r.fails_total(), "hosts": r.distinct_hosts(),
-            "ports": r.distinct_ports(), "pairs": r.distinct_targets(),
-            "syn_mean": F.round(F.sum("syn") / F.sum("n"), 6),
-        },
-    ),
-    "stat_src_long": _statistics(
-        ["orig_h", "long_bin"],
-        lambda: {"hosts": r.distinct_hosts(), "ports": r.distinct_ports(), "pairs": r.distinct_targets()},
-    ),
-    "stat_victim_short": _statistics(
-        ["resp_h", "short_bin"],
-        lambda: {"n": r.rows_total(), "sources": r.distinct_sources(), "pairs": r.distinct_source_ports()},
-    ),
-    "stat_victim_long": _statistics(
-        ["resp_h", "long_bin"],
-        lambda: {"n": r.rows_total(), "sources": r.distinct_sources(), "pairs": r.distinct_source_ports()},
+        ["orig_h", "short_bin"], ["n", "fails", "syn", "hosts", "ports", "pairs"],
+        syn_mean="round(syn / n, 6)",
     ),
-    "stat_pair": _statistics(["orig_h", "resp_h", "short_bin"], lambda: {"n": r.rows_total()}),
-    "stat_pair_port": _statistics(["orig_h", "resp_h", "resp_p", "short_bin"], lambda: {"n": r.rows_total()}),
+    "stat_src_long": _statistics(["orig_h", "long_bin"], ["hosts", "ports", "pairs"]),
+    "stat_victim_short": _statistics(["resp_h", "short_bin"], ["n", "sources", "source_ports"], pairs="source_ports"),
+    "stat_victim_long": _statistics(["resp_h", "long_bin"], ["n", "sources", "source_ports"], pairs="source_ports"),
+    "stat_pair": _statistics(["orig_h", "resp_h", "short_bin"], ["n"]),
+    "stat_pair_port": _statistics(["orig_h", "resp_h", "resp_p", "short_bin"], ["n"]),
     "fail_ratio": _fail_ratio,
     "pps_reply_ratio": _pps_reply_ratio,
     "byte_ratio": _byte_ratio,
