@@ -65,3 +65,22 @@ def test_a_part_of_the_backlog_lands_in_files_of_bounded_size(spark, tmp_path, m
     landing = run.folder.rsplit("/", 1)[0]
     files = spark.read.text(f"{landing}/*-landing/*").groupBy(F.input_file_name()).count()
     assert files.agg(F.max("count")).first()[0] <= 60
+
+
+def test_models_are_trained_on_all_rows(spark, tmp_path, monkeypatch):
+    """Every row trains the models of the other folds, however many there are and in however many tasks."""
+    given = []
+    train = model_queries.learning.train_fold
+
+    def noted(rows, fold, cfg):
+        given.append(rows.where(F.col("fold") != fold).count())
+        return train(rows, fold, cfg)
+
+    monkeypatch.setattr(model_queries.learning, "train_fold", noted)
+    monkeypatch.setattr(model_queries.learning, "ROWS_A_TASK", 9_000)
+    monkeypatch.setattr(model_queries, "TRAINING", model_queries.learning.TrainConfig(rounds=1, depth=2, min_leaf_rows=1))
+    folder = events(spark, tmp_path, 24_000)
+    scores = model_queries.QUERIES["gbt_oof"](spark, folder)
+    assert scores.count() == 24_000 and sum(given) == 4 * 24_000
+    metrics = model_queries.QUERIES["gbt_metrics"](spark, folder).collect()
+    assert sorted(given) == sorted(r.n_train for r in metrics)
