@@ -46,6 +46,12 @@ def quantized(df: DataFrame, id_column: str = "vec_id", vector_column: str = "em
     )
 
 
+def narrowed(vectors: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the smallest type that holds them; blocks travel once for each block they meet."""
+    low, high = vectors.min(initial=0), vectors.max(initial=0)
+    return vectors.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max))
+
+
 def _packed(rows: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key: its ids, vectors (longest first) and largest length. Groups are blocks, so bounded."""
 
@@ -53,7 +59,7 @@ def _packed(rows: DataFrame, keys: list[str]) -> DataFrame:
         group = group.sort_values(["length", "vec_id"], ascending=[False, True])
         vectors = np.stack([np.asarray(v, dtype=np.int64) for v in group["v"]])
         out = {k: [group[k].iloc[0]] for k in keys}
-        out |= {"ids": [group["vec_id"].to_numpy(np.int64).tobytes()], "vectors": [vectors.tobytes()]}
+        out |= {"ids": [group["vec_id"].to_numpy(np.int64).tobytes()], "vectors": [narrowed(vectors).tobytes()]}
         return pd.DataFrame(out | {"longest": [float(group["length"].iloc[0])]})
 
     types = dict(rows.dtypes)
@@ -66,7 +72,8 @@ class Block:
 
     def __init__(self, ids: bytes, vectors: bytes, dim: int):
         self.ids = np.frombuffer(ids, dtype=np.int64)
-        self.whole = np.frombuffer(vectors, dtype=np.int64).reshape(len(self.ids), dim)
+        width = len(vectors) // max(1, len(self.ids) * dim)
+        self.whole = np.frombuffer(vectors, dtype=f"i{width or 8}").reshape(len(self.ids), dim).astype(np.int64)
         self.values = self.whole.astype(np.float64)
         self.lengths = np.sqrt((self.values**2).sum(axis=1))
         self.most = float(np.abs(self.values).max(initial=0))
@@ -120,6 +127,16 @@ def best(query: np.ndarray, whole: np.ndarray, own: int, block: Block, bound: fl
     return ids[order], scores[order]
 
 
+def first_blocks(blocks: DataFrame, dims: list[int]) -> DataFrame:
+    """The packed row of the lowest part of the bucket of the longest vectors, for each of ``dims``: a row per dimension.
+
+    Places come first, without vectors, and only the blocks that stand there are read to the driver.
+    """
+    places = blocks.where(F.col("dim").isin(dims)).groupBy("dim").agg(F.min(F.struct("bucket", "part")).alias("at")).collect()
+    name = F.concat_ws("/", "dim", "bucket", "part")
+    return blocks.where(name.isin([f"{r.dim}/{r['at'].bucket}/{r['at'].part}" for r in places]))
+
+
 def top_k(
     df: DataFrame,
     staging: Staging,
@@ -164,14 +181,7 @@ def top_k(
     lot = F.pmod(F.xxhash64("row"), F.try_element_at(lots, F.col("dim"))).cast("int")
     queries = _packed(asked.withColumn("lot", lot), ["dim", "lot"])
     # One block of the longest vectors of every dimension; a block has a bounded size.
-    first = {
-        d: min(b for dim, b in parts if dim == d) for d in query_counts
-    }
-    starts = {
-        d: blocks.where((F.col("dim") == d) & (F.col("bucket") == b)).orderBy("part").limit(1).first()
-        for d, b in first.items()
-    }
-    starts = {d: (bytes(r["ids"]), bytes(r["vectors"])) for d, r in starts.items()}
+    starts = {r.dim: (bytes(r["ids"]), bytes(r["vectors"])) for r in first_blocks(blocks, list(query_counts)).collect()}
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,9 +218,11 @@ def top_k(
         "of.bucket",
         F.explode(F.sequence(F.lit(0), F.col("of.n") - 1)).alias("part"),
     )
-    # Queries in blocks against all rows in blocks: each pair of blocks is one row.
-    met = pairs.repartition(shuffle_width(spark), "dim", "bucket", "part", "lot").join(
-        blocks.drop("longest"), ["dim", "bucket", "part"]
+    # Queries in blocks against all rows in blocks: each pair of blocks is one row. Spark's estimate of the pairs leaves
+    # out that a query block is there once for each block, so neither side may go through the driver as a broadcast.
+    place = ["dim", "bucket", "part"]
+    met = pairs.hint("merge").repartition(shuffle_width(spark), *place).join(
+        blocks.drop("longest").repartition(shuffle_width(spark), *place), place
     )
 
     names = ["lot", "position", "query_id", "vec_id", "score"]
@@ -229,6 +241,6 @@ def top_k(
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=arrow)
 
     hits = met.mapInArrow(search, ", ".join(f"{n} bigint" for n in names))
-    place = Window.partitionBy("lot", "position", "query_id").orderBy(F.col("score").desc(), "vec_id")
-    ranked = hits.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k)
+    order = Window.partitionBy("lot", "position", "query_id").orderBy(F.col("score").desc(), "vec_id")
+    ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -65,3 +65,29 @@ def test_pruning_loses_nothing(seed):
     for bound in (-best[4][0], -best[4][0] - 30, -np.inf):
         found, scores = topk.best(query.astype(float), query, own, block, bound, 5)
         assert [(-s, i) for s, i in zip(scores.tolist(), found.tolist())] == best
+
+
+def test_blocks_of_vectors_do_not_pass_through_the_driver(spark, staging, monkeypatch, capsys):
+    """Pairs of blocks are shuffled, not broadcast, and the driver gets one block for each dimension."""
+    monkeypatch.setattr(topk, "BLOCK", 10)
+    read = []
+    first = topk.first_blocks
+    monkeypatch.setattr(topk, "first_blocks", lambda blocks, dims: read.append((blocks, first(blocks, dims))) or read[-1][1])
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(3 + i % 3 % 2)]) for i in range(600)] + [(700, [9e15, 1.0, 2.0]), (750, [])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = topk.top_k(frame, staging, F.col("vec_id") % 50 == 0)
+    found.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+    blocks, starts = read[0]
+    assert blocks.count() > 30
+    lowest = [r[:3] for r in sorted(blocks.select("dim", "bucket", "part").collect())]
+    assert sorted(tuple(r) for r in starts.select("dim", "bucket", "part").collect()) == [min(tuple(p) for p in lowest if p[0] == d) for d in (0, 3, 4)]
+
+
+@pytest.mark.parametrize("most", [100, 127, 128, 32_768, 2**31, 2**50])
+def test_vectors_keep_their_numbers_in_smaller_types(most):
+    v = np.array([[-most, 0], [most, 3]], dtype=np.int64)
+    packed = topk.narrowed(v).tobytes()
+    assert len(packed) <= v.nbytes and (topk.Block(np.arange(2).tobytes(), packed, 2).whole == v).all()
+    assert topk.Block(np.arange(2).tobytes(), b"", 0).whole.shape == (2, 0)
